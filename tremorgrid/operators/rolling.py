@@ -12,6 +12,7 @@ not depend on the window width.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -92,20 +93,23 @@ def _decay_in_blocks(df: DataFrame, keys: list[str], day: str,
     return df.drop(*blocks, *[f"{b}_{n}" for b in blocks for n in inputs])
 
 
-def running_series(days: DataFrame, cfg: HazardConfig) -> DataFrame:
-    """Running totals, decayed sums and last event on each event day of active cells."""
+def active_days(days: DataFrame, cfg: HazardConfig) -> DataFrame:
+    """Event days of the active cells (neighbour-only days hold zeros of their own)."""
     per_cell = Window.partitionBy(*CELL)
-    by_day = per_cell.orderBy("day_ord")
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    zero = F.lit(0)
-    known = days.withColumns({
+    return days.withColumns({
         "cell_n": F.max("cell_n").over(per_cell),
         "mc_cell": F.max("mc_cell").over(per_cell),
     }).where(F.col("cell_n") >= cfg.min_events_per_cell).withColumns({
-        c: F.coalesce(F.col(c), zero)
+        c: F.coalesce(F.col(c), F.lit(0))
         for c in ("n", "sum_mag", "sum_energy", "qual_count", "qual_summag", "sig_count")
     })
-    totals = known.withColumns({
+
+
+def running_series(days: DataFrame, cfg: HazardConfig) -> DataFrame:
+    """Running totals, decayed sums and last event on each event day of active cells."""
+    by_day = Window.partitionBy(*CELL).orderBy("day_ord")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = active_days(days, cfg).withColumns({
         "events": F.sum("n").over(so_far),
         "mag": F.sum(F.col("sum_mag").cast(MAG_SUM)).over(so_far),
         "energy": F.sum(F.col("sum_energy").cast(ENERGY_SUM)).over(so_far),
@@ -165,15 +169,38 @@ def trailing_features(series: DataFrame, last_day: Column, cfg: HazardConfig) ->
         "next_sig": F.min("sig_day").over(w.rowsBetween(1, cfg.horizon_days)),
     })
 
-    def trailing(total: str, n: int) -> Column:
+    def trailing(total: str, n: int | None) -> Column:
+        if n is None:
+            return F.col(f"totals.{total}")
         return F.col(f"totals.{total}") - F.coalesce(F.col(f"_before_{n}.{total}"), F.lit(0))
 
+    quiet = F.col("d") - F.col("day_ord")
+    features = feature_projection(
+        cfg, trailing,
+        largest=lambda n: F.col(f"rolling_max_mag_{n}d"),
+        decayed=lambda name, hl: F.col(f"decay_{name}_{hl}") * fn.decay_weight(quiet, hl))
+    return windowed.select(
+        *[c.alias(name) for name, c in features.items()],
+        F.col("d").alias("day_ord"), "next_sig", "sig_day",
+    )
+
+
+def feature_projection(cfg: HazardConfig, trailing: Callable[[str, int | None], Column],
+                       largest: Callable[[int], Column],
+                       decayed: Callable[[str, int], Column]) -> dict[str, Column]:
+    """All features of a cell-day ``d``, from accessors to its trailing sums.
+
+    ``trailing(total, width)`` is a sum over the last ``width`` days (all days
+    if None), ``largest(width)`` the largest magnitude in them and
+    ``decayed(name, half_life)`` a decayed sum.
+    """
+    day = F.date_from_unix_date("d")
     features = {
-        "day": F.date_from_unix_date("d"),
+        "day": day,
         "cell_lat": fn.cell_center(F.col("cell_lat_floor"), cfg.grid_deg),
         "cell_lon": fn.cell_center(F.col("cell_lon_floor"), cfg.grid_deg),
         "mc_cell": F.col("mc_cell"),
-        "historical_event_count": F.col("totals.events").cast("double"),
+        "historical_event_count": trailing("events", None).cast("double"),
         "days_since_last_event": (F.col("d") - F.col("last_event")).cast("double"),
     }
     for n in cfg.count_windows:
@@ -181,28 +208,60 @@ def trailing_features(series: DataFrame, last_day: Column, cfg: HazardConfig) ->
         features[f"rolling_count_{n}d"] = count
         features[f"rolling_mean_mag_{n}d"] = F.try_divide(
             trailing("mag", n).cast("double"), count)
-        features[f"rolling_max_mag_{n}d"] = F.col(f"rolling_max_mag_{n}d")
+        features[f"rolling_max_mag_{n}d"] = largest(n)
         features[f"log_energy_{n}d"] = fn.log_plus_one(trailing("energy", n).cast("double"))
-    quiet = F.col("d") - F.col("day_ord")
     for hl in cfg.half_lives:
-        weight = fn.decay_weight(quiet, hl)
-        features[f"decay_count_hl{hl}d"] = F.col(f"decay_n_{hl}") * weight
-        features[f"decay_log_energy_hl{hl}d"] = fn.log_plus_one(
-            F.col(f"decay_energy_{hl}") * weight)
+        features[f"decay_count_hl{hl}d"] = decayed("n", hl)
+        features[f"decay_log_energy_hl{hl}d"] = fn.log_plus_one(decayed("energy", hl))
     hl = cfg.neighbor_half_life
-    features[f"neighbor_decay_count_hl{hl}d"] = (
-        F.col(f"decay_nbr_{hl}") * fn.decay_weight(quiet, hl))
+    features[f"neighbor_decay_count_hl{hl}d"] = decayed("nbr", hl)
     for n in cfg.b_windows:
         count = trailing("qual_n", n).cast("double")
         features[f"b_value_{n}d"] = b_value(
             count, trailing("qual_mag", n).cast("double"), F.col("mc_cell"), cfg)
         features[f"b_value_{n}d_n_events"] = count
-    angle = fn.season_angle(F.date_from_unix_date("d"))
+    angle = fn.season_angle(day)
     features["doy_sin"], features["doy_cos"] = F.sin(angle), F.cos(angle)
-    return windowed.select(
-        *[c.alias(name) for name, c in features.items()],
-        F.col("d").alias("day_ord"), "next_sig", "sig_day",
-    )
+    return features
+
+
+def features_as_of(days: DataFrame, last_day: Column, lookback: int,
+                   cfg: HazardConfig) -> DataFrame:
+    """Features of the last ``lookback`` days only, for every active cell.
+
+    A few days need no series: each is one conditional aggregate over the
+    cell's event days.
+    """
+    seen = F.col("day_ord") <= F.col("d")
+    age = F.col("d") - F.col("day_ord")
+
+    def within(n: int | None) -> Column:
+        return seen if n is None else seen & (age < n)
+
+    def total(value: str, n: int | None) -> Column:
+        return F.sum(F.when(within(n), F.col(value)).otherwise(0))
+
+    source = {"events": ("n", "bigint"), "mag": ("sum_mag", MAG_SUM),
+              "energy": ("sum_energy", ENERGY_SUM), "qual_n": ("qual_count", "bigint"),
+              "qual_mag": ("qual_summag", MAG_SUM)}
+    aggregates = {"last_event": F.max(F.when(seen & (F.col("n") > 0), F.col("day_ord")))}
+    for n in {None, *cfg.count_windows, *cfg.b_windows}:
+        for name in TOTALS:
+            aggregates[f"{name}_{n}"] = total(name, n)
+        aggregates[f"max_{n}"] = F.max(F.when(within(n), F.col("max_mag")))
+    for name, (value, hl) in _decay_inputs(cfg).items():
+        weighted = F.col(value) * fn.decay_weight(age, hl)
+        aggregates[name] = F.sum(F.when(seen, weighted).otherwise(0.0))
+    as_of = F.explode(F.sequence(last_day - (lookback - 1), last_day))
+    rows = active_days(days, cfg).withColumn("d", as_of).select(
+        *CELL, "mc_cell", "d", "day_ord", "n", "nbr_n", "max_mag", "sum_energy",
+        *[F.col(column).cast(kind).alias(name) for name, (column, kind) in source.items()])
+    summed = rows.groupBy(*CELL, "mc_cell", "d").agg(
+        *[c.alias(name) for name, c in aggregates.items()])
+    features = feature_projection(
+        cfg, lambda name, n: F.col(f"{name}_{n}"), lambda n: F.col(f"max_{n}"),
+        lambda name, hl: F.col(f"decay_{name}_{hl}"))
+    return summed.select(*[c.alias(name) for name, c in features.items()])
 
 
 def b_value(count: Column, mag_sum: Column, mc: Column, cfg: HazardConfig) -> Column:

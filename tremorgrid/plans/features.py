@@ -69,3 +69,12 @@ def feature_matrix(catalog: DataFrame, cfg: HazardConfig = HazardConfig(),
     rows = expand_horizons(labelled_days(catalog, cfg, last_day), cfg)
     return rows.withColumn("target", F.coalesce(reached, F.lit(False)).cast("int")).select(
         *matrix_columns(cfg))
+
+
+def snapshot(catalog: DataFrame, cfg: HazardConfig = HazardConfig(), lookback: int = 1,
+             last_day: Column | None = None) -> DataFrame:
+    """Current features of every active cell: no label, no warm-up filter."""
+    last = last_day if last_day is not None else last_day_of(catalog)
+    days = grid.with_neighbors(grid.cell_days(catalog, cfg))
+    return rolling.features_as_of(days, last, lookback, cfg).select(
+        "day", "cell_lat", "cell_lon", *feature_columns(cfg))
