@@ -8,6 +8,8 @@ offset; only the order inside a bucket is left to a window.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS = 65_536
@@ -79,46 +81,58 @@ def quantiles_of(ordered: DataFrame, groups: list[str], value: str,
              (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias("q"))
 
 
-def column_quantile(df: DataFrame, columns: list[str], prob: float = 0.5) -> dict[str, float]:
+def column_quantile(df: DataFrame, columns: list[str], prob: float = 0.5,
+                    accuracy: int = 10_000) -> dict[str, float]:
     """Exact interpolated quantile of each column; all-missing columns are left out.
 
-    Three scans with tiny shuffles instead of a shuffle of every value: the
-    range of each column, a histogram, then only the values of the histogram
-    buckets that hold the sought ranks. Only a few numbers per column reach
-    the driver. ``df`` should be a stored table.
+    A mergeable sketch first gives two values that enclose the quantile, with
+    a known error; then only the values between them are counted one by one.
+    Nothing but a few numbers per column reaches the driver, and no shuffle
+    carries more than a sliver of the values. ``df`` should be a stored table.
     """
-    stats = df.agg(*[
-        F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
-                 F.count(c).alias("n")).alias(c) for c in columns
-    ]).first()
-    present = [c for c in columns if stats[c]["n"] > 0]
-    if not present:
+    margin = 2.0 / accuracy
+    ends = [max(0.0, prob - margin), min(1.0, prob + margin)]
+    sketch = df.agg(*[
+        F.struct(F.count(c).alias("n"), F.min(c).cast("double").alias("lo"),
+                 F.max(c).cast("double").alias("hi"),
+                 F.percentile_approx(F.col(c).cast("double"), ends, accuracy).alias("near"))
+        .alias(c) for c in columns]).first()
+    found: dict[str, float] = {}
+    brackets = {c: (*sketch[c]["near"], sketch[c]["n"]) for c in columns if sketch[c]["n"] > 0}
+    found.update(_pick_in_brackets(df, brackets, prob))
+    # the sketch's guarantee makes this empty; if it ever failed, look everywhere
+    rest = {c: (sketch[c]["lo"], sketch[c]["hi"], b[2])
+            for c, b in brackets.items() if c not in found}
+    if rest:
+        found.update(_pick_in_brackets(df, rest, prob))
+    return found
+
+
+def _pick_in_brackets(df: DataFrame, brackets: dict[str, tuple[float, float, int]],
+                      prob: float) -> dict[str, float]:
+    """The quantile of each column whose ranks lie between the given values."""
+    if not brackets:
         return {}
-    cells = [F.struct(
+    below = df.agg(*[F.count_if(F.col(c) < lo).alias(c) for c, (lo, _, _) in brackets.items()]).first()
+    cells = [F.when(F.col(c).between(lo, hi), F.struct(
         F.lit(c).alias("column"), F.col(c).cast("double").alias("value"),
-        unit_bucket(F.coalesce(F.try_divide(
-            F.col(c) - F.lit(stats[c]["lo"]), F.lit(stats[c]["hi"] - stats[c]["lo"])),
-            F.lit(0.0))).alias("bucket"),
-        F.lit(prob * (stats[c]["n"] - 1)).alias("rank"),
-    ) for c in present]
-    long = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
-    histogram = long.groupBy("column", "rank", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    upto = (Window.partitionBy("column").orderBy("bucket")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    sought = histogram.withColumn("cum", F.sum("n").over(upto)).where(
-        (F.col("cum") > F.floor("rank")) & (F.col("cum") - F.col("n") <= F.ceil("rank"))
-    ).groupBy("column").agg(F.min("bucket").alias("from"), F.max("bucket").alias("to"),
-                            F.min(F.col("cum") - F.col("n")).alias("below"))
-    found = ordered_counts(
-        long.join(F.broadcast(sought), "column").where(F.col("bucket").between(
-            F.col("from"), F.col("to"))),
-        ["column", "rank", "below"], "value")
-    index_from, index_to = F.col("below") + F.col("cum_n") - F.col("n"), F.col("below") + F.col("cum_n")
-    rows = found.where(
-        (F.floor("rank") < index_to) & (F.ceil("rank") >= index_from)
-    ).groupBy("column", "rank").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    return {r["column"]: r["low"] + (r["high"] - r["low"]) * (r["rank"] - int(r["rank"]))
-            for r in rows.collect()}
+        F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))) for c, (lo, hi, _) in brackets.items()]
+    counts = df.select(F.inline(F.array_compact(F.array(*cells)))).groupBy(
+        "column", "lo", "hi", "value").agg(F.count(F.lit(1)).alias("n"))
+    place = F.coalesce(F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")),
+                       F.lit(0.0))
+    ordered = running_totals(counts, ["column"], unit_bucket(place), "value", ["n"])
+    ranks = {c: prob * (n - 1) for c, (_, _, n) in brackets.items()}
+    wanted = F.create_map(*[x for c, r in ranks.items()
+                            for x in (F.lit(c), F.lit(r - below[c]))])[F.col("column")]
+    rows = ordered.withColumn("rank", wanted).where(
+        (F.floor("rank") < F.col("cum_n")) & (F.ceil("rank") >= F.col("cum_n") - F.col("n"))
+    ).groupBy("column", "rank").agg(
+        F.min("value").alias("low"), F.max("value").alias("high"),
+        (F.min(F.col("cum_n") - F.col("n")) <= F.floor("rank")).alias("has_low"),
+        (F.max("cum_n") > F.ceil("rank")).alias("has_high"))
+    return {r["column"]: r["low"] + (r["high"] - r["low"]) * (r["rank"] - math.floor(r["rank"]))
+            for r in rows.collect() if r["has_low"] and r["has_high"]}
 
 
 def with_row_index(df: DataFrame, blocks: list[str], order: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from tremorgrid.sources.tables import TableStore
 from tremorgrid.streaming import events as streams
 from workload import sql as S
 from workload.queries import (
-    _MX_COLUMNS, _MX_E, CFG, cell_names, events_matrix, orders, orders_matrix, query,
+    _MX_COLUMNS, _MX_E, CFG, cell_names, clean_events, events_matrix, orders, orders_matrix, query,
     raw_events,
 )
 from workload.sql import q
@@ -30,34 +30,50 @@ def trained(spark, d):
     return training.train_test(materialize(orders_matrix(spark, d), "matrix"), CFG)
 
 
-def _forecast_with(spark, d, key, params) -> DataFrame:
+@query("gbt_forecast")
+def gbt_forecast(spark, d):
     train, _, _, imputation = trained(spark, d)
-    _, score = training.fit(key, train, imputation.feature_columns, params, CFG.seed)
+    _, score = training.fit("gbt", train, imputation.feature_columns, GBT, CFG.seed)
 
     def scorer(rows):
-        return score(rows.withColumn(boosting.VECTOR, imputation.vector()), f"proba_{key}")
+        return score(rows.withColumn(boosting.VECTOR, imputation.vector()), "proba_gbt")
 
     return forecast.forecast(orders(spark, d), scorer, list(forecast.MODEL_NAMES), CFG)
 
 
-@query("gbt_forecast")
-def gbt_forecast(spark, d):
-    return _forecast_with(spark, d, "gbt", GBT)
+def _boosted_forecast(spark, d, key, params) -> DataFrame:
+    """Train on all labelled rows of the short catalog, forecast from its last day."""
+    matrix = materialize(events_matrix(spark, d), "matrix")
+    imputation = fit_imputation(matrix)
+    train = materialize(training.prepare(matrix, imputation), "prepared")
+    _, score = training.fit(key, train, imputation.feature_columns, params, CFG.seed)
+
+    def scorer(rows):
+        return score(rows.withColumn(boosting.VECTOR, imputation.vector()), f"proba_{key}")
+
+    return forecast.forecast(clean_events(spark, d), scorer, list(forecast.MODEL_NAMES), CFG)
 
 
 @query("adaboost_tree_forecast")
 def adaboost_tree_forecast(spark, d):
-    return _forecast_with(spark, d, "adaboost_dt", SAMME_TREE)
+    return _boosted_forecast(spark, d, "adaboost_dt", SAMME_TREE)
 
 
 @query("adaboost_forest_forecast")
 def adaboost_forest_forecast(spark, d):
-    return _forecast_with(spark, d, "adaboost_rf", SAMME_FOREST)
+    return _boosted_forecast(spark, d, "adaboost_rf", SAMME_FOREST)
 
 
 @query("test_evaluation")
 def test_evaluation(spark, d):
-    train, _, test, imputation = trained(spark, d)
+    """All three models, trained on what was known at mid-month, on the days after it."""
+    matrix = materialize(events_matrix(spark, d), "matrix")
+    cutoff = F.lit("2024-01-16").cast("date")
+    known = splits.assert_leak_free(splits.training_rows(matrix, cutoff), cutoff)
+    later = matrix.where(F.col("day") > cutoff)
+    imputation = fit_imputation(known, later)
+    train = materialize(training.prepare(known, imputation), "train")
+    test = training.prepare(later, imputation)
     parts = []
     for key, params in (("gbt", GBT), ("adaboost_dt", SAMME_TREE), ("adaboost_rf", SAMME_FOREST)):
         _, score = training.fit(key, train, imputation.feature_columns, params, CFG.seed)
@@ -134,9 +150,8 @@ def csv_feed(spark, d):
 
 def event_stream(spark, d) -> DataFrame:
     """The events table as a file stream, in the shape of a catalog."""
-    path = f"{d}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    source = spark.readStream.schema(schema).parquet(path)
+    schema = views.read_table(spark, d, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
     return views.events_as_catalog(source).withColumns(
         {c: F.col(c).cast("timestamp") for c in ("time", "updated")})
 
