@@ -53,16 +53,13 @@ class Imputation:
             *[self.missing(c).cast("double") for c in self.indicators]))
 
 
-def fit_imputation(train: DataFrame, *others: DataFrame) -> Imputation:
+def fit_imputation(train: DataFrame, every_part: DataFrame | None = None) -> Imputation:
     """Medians of the training rows; indicators for columns with gaps in any part.
 
-    A column without any training value is filled with zero and keeps its
-    indicator.
+    ``every_part`` holds the rows of all parts, training included. A column
+    without any training value is filled with zero and keeps its indicator.
     """
     columns = base_columns(train.columns)
-    with_gaps: set[str] = set()
-    for part in (train, *others):
-        gaps = part.agg(*[F.max(F.col(c).isNull()).alias(c) for c in columns]).first()
-        with_gaps |= {c for c in columns if gaps[c]}
-    return Imputation(columns, [c for c in columns if c in with_gaps],
-                      column_quantile(train, columns))
+    rows = every_part if every_part is not None else train
+    gaps = rows.selectExpr(*[f"count(*) > count(`{c}`) as `{c}`" for c in columns]).first()
+    return Imputation(columns, [c for c in columns if gaps[c]], column_quantile(train, columns))

@@ -82,29 +82,32 @@ def quantiles_of(ordered: DataFrame, groups: list[str], value: str,
 
 
 def column_quantile(df: DataFrame, columns: list[str], prob: float = 0.5,
-                    accuracy: int = 10_000) -> dict[str, float]:
+                    sample_rows: int = 50_000, margin: float = 0.01) -> dict[str, float]:
     """Exact interpolated quantile of each column; all-missing columns are left out.
 
-    A mergeable sketch first gives two values that enclose the quantile, with
-    a known error; then only the values between them are counted one by one.
+    A sample only serves to guess two values around the quantile. Then all
+    rows are counted: those below the bracket, and those inside it one by one.
+    If the counts show that a bracket missed the quantile, the column's whole
+    range is counted instead, so the result never depends on the sample.
     Nothing but a few numbers per column reaches the driver, and no shuffle
     carries more than a sliver of the values. ``df`` should be a stored table.
     """
-    margin = 2.0 / accuracy
-    ends = [max(0.0, prob - margin), min(1.0, prob + margin)]
-    sketch = df.agg(*[
-        F.struct(F.count(c).alias("n"), F.min(c).cast("double").alias("lo"),
-                 F.max(c).cast("double").alias("hi"),
-                 F.percentile_approx(F.col(c).cast("double"), ends, accuracy).alias("near"))
-        .alias(c) for c in columns]).first()
-    found: dict[str, float] = {}
-    brackets = {c: (*sketch[c]["near"], sketch[c]["n"]) for c in columns if sketch[c]["n"] > 0}
-    found.update(_pick_in_brackets(df, brackets, prob))
-    # the sketch's guarantee makes this empty; if it ever failed, look everywhere
-    rest = {c: (sketch[c]["lo"], sketch[c]["hi"], b[2])
-            for c, b in brackets.items() if c not in found}
-    if rest:
-        found.update(_pick_in_brackets(df, rest, prob))
+    share = min(1.0, sample_rows / max(df.count(), 1))
+    low, high = max(0.0, prob - margin), min(1.0, prob + margin)
+    seen = df if share == 1.0 else df.sample(share, seed=1)
+    guess = seen.selectExpr(*[
+        f"percentile_approx(cast(`{c}` as double), array({low}, {high}), 1000) as `{c}`"
+        for c in columns]).first()
+    sizes = df.selectExpr(*[f"count(`{c}`) as `{c}`" for c in columns]).first()
+    present = [c for c in columns if sizes[c]]
+    found = _pick_in_brackets(df, {c: (*guess[c], sizes[c]) for c in present if guess[c]}, prob)
+    missed = [c for c in present if c not in found]
+    if missed:
+        ends = df.selectExpr(*[
+            f"struct(cast(min(`{c}`) as double) as lo, cast(max(`{c}`) as double) as hi) as `{c}`"
+            for c in missed]).first()
+        whole = {c: (ends[c]["lo"], ends[c]["hi"], sizes[c]) for c in missed}
+        found.update(_pick_in_brackets(df, whole, prob))
     return found
 
 
@@ -113,19 +116,22 @@ def _pick_in_brackets(df: DataFrame, brackets: dict[str, tuple[float, float, int
     """The quantile of each column whose ranks lie between the given values."""
     if not brackets:
         return {}
-    below = df.agg(*[F.count_if(F.col(c) < lo).alias(c) for c, (lo, _, _) in brackets.items()]).first()
-    cells = [F.when(F.col(c).between(lo, hi), F.struct(
-        F.lit(c).alias("column"), F.col(c).cast("double").alias("value"),
-        F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))) for c, (lo, hi, _) in brackets.items()]
-    counts = df.select(F.inline(F.array_compact(F.array(*cells)))).groupBy(
-        "column", "lo", "hi", "value").agg(F.count(F.lit(1)).alias("n"))
+    below = df.selectExpr(*[
+        f"count_if(`{c}` < {lo!r}D) as `{c}`" for c, (lo, _, _) in brackets.items()]).first()
+    cells = ", ".join(
+        f"if(`{c}` between {lo!r}D and {hi!r}D, struct({k} as k, cast(`{c}` as double) as value), null)"
+        for k, (c, (lo, hi, _)) in enumerate(brackets.items()))
+    inside = df.selectExpr(f"explode(array({cells})) as x").where("x is not null").select("x.*")
+    limits = [(k, c, float(lo), float(hi), prob * (n - 1) - below[c])
+              for k, (c, (lo, hi, n)) in enumerate(brackets.items())]
+    known = df.sparkSession.createDataFrame(
+        limits, "k int, column string, lo double, hi double, rank double")
+    counts = inside.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n")).join(
+        F.broadcast(known), "k")
     place = F.coalesce(F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")),
                        F.lit(0.0))
     ordered = running_totals(counts, ["column"], unit_bucket(place), "value", ["n"])
-    ranks = {c: prob * (n - 1) for c, (_, _, n) in brackets.items()}
-    wanted = F.create_map(*[x for c, r in ranks.items()
-                            for x in (F.lit(c), F.lit(r - below[c]))])[F.col("column")]
-    rows = ordered.withColumn("rank", wanted).where(
+    rows = ordered.where(
         (F.floor("rank") < F.col("cum_n")) & (F.ceil("rank") >= F.col("cum_n") - F.col("n"))
     ).groupBy("column", "rank").agg(
         F.min("value").alias("low"), F.max("value").alias("high"),

@@ -71,7 +71,7 @@ def test_evaluation(spark, d):
     cutoff = F.lit("2024-01-16").cast("date")
     known = splits.assert_leak_free(splits.training_rows(matrix, cutoff), cutoff)
     later = matrix.where(F.col("day") > cutoff)
-    imputation = fit_imputation(known, later)
+    imputation = fit_imputation(known, known.unionByName(later))
     train = materialize(training.prepare(known, imputation), "train")
     test = training.prepare(later, imputation)
     parts = []

@@ -426,6 +426,11 @@ def orders_matrix(spark, d):
     return features.feature_matrix(orders(spark, d), CFG)
 
 
+def stored_matrix(spark, d):
+    """The long matrix as a table, as splits and backtests read it many times."""
+    return materialize(orders_matrix(spark, d), "matrix")
+
+
 @query("multi_horizon_labels", f"""
 with {_E}, {S.PAST}, {S.NEXT_SIG}, {S.KEPT}
 select k.day, h.h as horizon_day, k.i + cast(0.5 as double) as cell_lat,
@@ -518,7 +523,7 @@ with {_MX_O}, {_SPLIT}
 select split, horizon_day, count(*) as rows, min(day) as first_day, max(day) as last_day
 from tagged group by split, horizon_day""")
 def purged_split(spark, d):
-    return splits.with_split(orders_matrix(spark, d), CFG).groupBy("split", "horizon_day").agg(
+    return splits.with_split(stored_matrix(spark, d), CFG).groupBy("split", "horizon_day").agg(
         F.count(F.lit(1)).alias("rows"), F.min("day").alias("first_day"),
         F.max("day").alias("last_day"))
 
@@ -532,7 +537,7 @@ select split, count(*) as rows, count(distinct day) as days, min(day) as first_d
        cast(round_even(7 * (count(*) / cast(count(distinct day) as double)), 0) as bigint) as gap_rows
 from tagged group by split""")
 def split_summary(spark, d):
-    return splits.split_summary(splits.with_split(orders_matrix(spark, d), CFG), CFG)
+    return splits.split_summary(splits.with_split(stored_matrix(spark, d), CFG), CFG)
 
 
 @query("cv_folds", f"""
@@ -551,7 +556,7 @@ select cast(fold as integer) as fold, role, count(*) as rows, min(ri) as first_r
        cast(sum(target) as bigint) as positives
 from parts where role is not null group by fold, role""")
 def cv_folds(spark, d):
-    tagged = splits.with_split(orders_matrix(spark, d), CFG)
+    tagged = splits.with_split(stored_matrix(spark, d), CFG)
     return splits.cv_folds(tagged.where("split = 'train'"), CFG)
 
 
@@ -570,7 +575,7 @@ select t.split, count(*) as rows,
                   for c in ('rolling_mean_mag_7d', 'rolling_max_mag_7d', 'b_value_90d'))}
 from tagged t, med, gaps where t.split <> 'purged' group by t.split""")
 def median_impute(spark, d):
-    tagged = materialize(splits.with_split(orders_matrix(spark, d), CFG), "split")
+    tagged = materialize(splits.with_split(stored_matrix(spark, d), CFG), "split")
     kept = tagged.where("split <> 'purged'")
     imputation = fit_imputation(kept.where("split = 'train'"), kept)
     flags = ("rolling_mean_mag_7d", "rolling_max_mag_7d", "b_value_90d")
@@ -585,15 +590,19 @@ _SC = S.scored(S.EVENTS_CLEAN)
 _CURVE = S.score_curve("sc", "model")
 
 
-def pseudo_scored(spark, d, matrix=events_matrix) -> DataFrame:
-    """The matrix with three simple scores in place of trained models."""
+def pseudo_scored(spark, d) -> DataFrame:
+    """The matrix with three simple scores in place of trained models, stored."""
+    return materialize(with_pseudo_scores(events_matrix(spark, d)), "scored")
+
+
+def with_pseudo_scores(matrix: DataFrame) -> DataFrame:
     x = lambda c: F.round(F.col(c) / (1 + F.col(c)) + 1e-9, 6)
     scores = F.array(
         F.struct(F.lit("A").alias("model"), x("rolling_count_30d").alias("proba")),
         F.struct(F.lit("B").alias("model"), x("rolling_count_7d").alias("proba")),
         F.struct(F.lit("C").alias("model"), x("decay_count_hl3d").alias("proba")))
     keys = ["day", "horizon_day", "cell_lat", "cell_lon", "target"]
-    return matrix(spark, d).select(*keys, F.inline(scores))
+    return matrix.select(*keys, F.inline(scores))
 
 
 @query("roc_auc", f"with {_SC}, {_CURVE} select model, {q('roc_auc')} as roc_auc from rk")
@@ -733,7 +742,6 @@ def best_model(spark, d):
 
 # --- backtest -------------------------------------------------------------------------
 
-_BCFG = CFG
 _SCO = S.scored(S.ORDERS)
 _CUTS = """
 el as (select day from (select distinct day from mx) x
@@ -747,15 +755,16 @@ _BT = f"{_SCO}, {_CUTS}, bt as (select sc.day as cutoff, sc.* exclude (day, mode
 
 def backtest_scored(spark, d):
     """Forecast rows at the chosen cutoffs with pseudo-score C."""
-    matrix = orders_matrix(spark, d)
+    matrix = stored_matrix(spark, d)
     cutoffs = backtest.choose_cutoffs(matrix, CFG)
-    rows = pseudo_scored(spark, d, orders_matrix).where("model = 'C'")
-    return rows.withColumnRenamed("day", "cutoff").join(F.broadcast(cutoffs), "cutoff")
+    rows = with_pseudo_scores(matrix).where("model = 'C'")
+    chosen = rows.withColumnRenamed("day", "cutoff").join(F.broadcast(cutoffs), "cutoff")
+    return materialize(chosen, "scored")
 
 
 @query("cutoff_selection", f"with {_MX_O}, {_CUTS} select cutoff from cuts")
 def cutoff_selection(spark, d):
-    return backtest.choose_cutoffs(orders_matrix(spark, d), CFG)
+    return backtest.choose_cutoffs(stored_matrix(spark, d), CFG)
 
 
 @query("leak_free_training", f"""
@@ -765,7 +774,7 @@ select horizon_day, count(*) as rows, max(day) as last_day, cast(sum(target) as
 from mx where day + horizon_day <= date '1998-06-15' group by horizon_day""")
 def leak_free_training(spark, d):
     cutoff = F.lit("1998-06-15").cast("date")
-    train = splits.training_rows(orders_matrix(spark, d), cutoff)
+    train = splits.training_rows(stored_matrix(spark, d), cutoff)
     return splits.assert_leak_free(train, cutoff).groupBy("horizon_day").agg(
         F.count(F.lit(1)).alias("rows"), F.max("day").alias("last_day"),
         F.sum("target").cast("long").alias("positives"),
@@ -777,7 +786,7 @@ with {_MX_O}, {_CUTS}
 select cutoff, count(*) as train_rows, {q('avg(target)')} as train_positive_rate
 from cuts join mx on mx.day + mx.horizon_day <= cutoff group by cutoff""")
 def backtest_training_stats(spark, d):
-    matrix = orders_matrix(spark, d)
+    matrix = stored_matrix(spark, d)
     return backtest.training_stats(matrix, backtest.choose_cutoffs(matrix, CFG), CFG)
 
 
