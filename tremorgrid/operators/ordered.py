@@ -28,7 +28,10 @@ def running_totals(df: DataFrame, groups: list[str], bucket: Column, key: str,
     def sort(name: str) -> Column:
         return F.desc(name) if descending else F.asc(name)
 
-    rows = df.withColumn("_bucket", bucket)
+    # known to be non-null on both sides of the join below, the counts behind
+    # ``df`` are computed once and their shuffle is shared
+    rows = (df.dropna(subset=groups) if groups else df).withColumn(
+        "_bucket", F.coalesce(bucket, F.lit(0).cast("int")) if groups else bucket)
     per_bucket = rows.groupBy(*groups, "_bucket").agg(
         *[F.sum(m).alias(f"_in_{m}") for m in measures])
     group = Window.partitionBy(*[F.col(g) for g in groups] or [F.lit(0)])

@@ -22,6 +22,10 @@ def build_session(app_name: str = "tremorgrid", master: str | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # wide plans: keep the generated code of more stages than the default 100
+        "spark.sql.codegen.cache.maxEntries": "2000",
+        # building the wide plans is faster without a call site per expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

@@ -23,11 +23,13 @@ from workload.sql import q
 CFG = HazardConfig(mag_threshold=S.THRESHOLD, min_events_per_cell=S.MIN_EVENTS)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {}  # without rounding
 ORACLES: dict[str, str] = {}
 
 
 def query(name: str, oracle: str | None = None):
     def register(run):
+        PLAIN[name] = run
         QUERIES[name] = lambda spark, sf_dir: rounded(run(spark, sf_dir))
         if oracle is not None:
             ORACLES[name] = oracle
@@ -575,11 +577,12 @@ select t.split, count(*) as rows,
                   for c in ('rolling_mean_mag_7d', 'rolling_max_mag_7d', 'b_value_90d'))}
 from tagged t, med, gaps where t.split <> 'purged' group by t.split""")
 def median_impute(spark, d):
-    tagged = materialize(splits.with_split(stored_matrix(spark, d), CFG), "split")
+    tagged = splits.with_split(stored_matrix(spark, d), CFG)
     kept = tagged.where("split <> 'purged'")
-    imputation = fit_imputation(kept.where("split = 'train'"), kept)
+    imputation = fit_imputation(kept.where("split = 'train'").drop("split"), kept.drop("split"))
     flags = ("rolling_mean_mag_7d", "rolling_max_mag_7d", "b_value_90d")
-    return imputation.transform(kept).groupBy("split").agg(
+    flagged = kept.withColumns({f"{c}_missing": imputation.missing(c) for c in flags})
+    return imputation.transform(flagged).groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in _FILLED],
         *[F.sum(f"{c}_missing").alias(f"{c}_missing") for c in flags])
 
