@@ -58,12 +58,12 @@ def test_segments_join_to_the_text_and_keep_pretokens_whole():
 # --- 2: simhash --------------------------------------------------------------------------------------------------
 
 
-def fingerprint(t):
+def fingerprint(t, width=4):
     w = cases.lower(t)
     w = cases.words(w)
     if not w:
         return 0
-    shingles = [" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))]
+    shingles = [" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))]
     h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 

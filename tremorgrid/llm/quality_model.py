@@ -14,11 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tremorgrid.llm.tables import documents
-from tremorgrid.llm.text import joined, row_sums, slices, space_words, texts_of, xxh64
+from tremorgrid.llm.text import row_sums, slices, space_words, subwords, texts_of
 
 
 @dataclass(frozen=True)
@@ -33,41 +32,12 @@ class QualityConfig:
     seed: int = 7
 
 
-def word_features(words: pa.Array, cfg: QualityConfig) -> tuple[np.ndarray, np.ndarray]:
-    """(hashed features of all words, each word's bounds): the word itself and its n-grams."""
-    data, starts, lengths = joined(words)
-    marked = np.full(len(data) + len(words), ord(">"), dtype=np.uint8)  # <word> without gaps
-    begin = starts + np.arange(len(words))
-    marked[begin] = ord("<")
-    into = np.arange(len(data)) + np.repeat(np.arange(len(words)), lengths + 1) + 1
-    keep = np.ones(len(data), dtype=bool)
-    keep[starts + lengths] = False
-    marked[into[keep]] = data[keep]
-    size = lengths + 2
-    owner = np.repeat(np.arange(len(words)), size)
-    left = np.repeat(begin + size, size) - np.arange(len(marked))  # bytes up to the word's end
-    features, owners = [(xxh64(data, starts, lengths, 1) % np.uint64(cfg.buckets)).astype(np.int64)], [np.arange(len(words))]
-    rolled = np.zeros(len(marked), dtype=np.uint64)
-    padded = np.concatenate([marked, np.zeros(cfg.longest, np.uint8)]).astype(np.uint64)
-    with np.errstate(over="ignore"):
-        for n in range(1, cfg.longest + 1):
-            rolled = (rolled + padded[n - 1 : n - 1 + len(marked)] + np.uint64(1)) * np.uint64(0x9E3779B185EBCA87)
-            rolled ^= rolled >> np.uint64(29)
-            if n >= cfg.shortest:
-                fits = left >= n
-                features.append(((rolled[fits] * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(40)) % np.uint64(cfg.buckets)).astype(np.int64))
-                owners.append(owner[fits])
-    features, owners = np.concatenate(features), np.concatenate(owners)
-    order = np.argsort(owners, kind="stable")
-    return features[order], np.searchsorted(owners[order], np.arange(len(words) + 1))
-
-
 def _rows(batches: Iterator[pa.RecordBatch], cfg: QualityConfig):
     """(slice, its distinct words' features and bounds, each text's word codes and bounds)."""
     for part in slices(batches, "text"):
         words, bounds = space_words(texts_of(part, "text"))
         coded = words.dictionary_encode()
-        features, edges = word_features(pa.concat_arrays([coded.dictionary]), cfg) if len(words) else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+        features, edges = subwords(pa.concat_arrays([coded.dictionary]), cfg.buckets, cfg.shortest, cfg.longest) if len(words) else (np.zeros(0, np.int64), np.zeros(1, np.int64))
         yield part, features, edges, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), bounds
 
 

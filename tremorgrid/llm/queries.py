@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tremorgrid.llm import byte_bpe, decontamination, quality_model, repetition, simhash, token_counts
+from tremorgrid.llm import byte_bpe, decontamination, language, language_model, pii, quality_model, repetition, simhash, token_counts, training_order
 from tremorgrid.llm.tables import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all pages and, with their source as the host, all documents."""
+    docs = table(spark, sf_dir, "documents")
+    rows = language.page_rows(table(spark, sf_dir, "pages")).unionByName(language.document_rows(docs))
+    return language.identified(rows, docs.select("text", "lang"))
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, radius=4)
@@ -32,11 +40,40 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_model.lm_scores(docs, held_out=remainder(F.col("doc_id"), 7) == 2)
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+@query
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence with its slot and place, and a hash of its ids as read back from the shards."""
+    manifest, folder, layout = training_order.write_training_order(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+        end_id=50256, key=20240607, length=256)
+    if not layout["sequences"]:
+        return manifest.withColumn("ids_sha256", F.lit(""))
+    ids = training_order.read_slots(spark, folder, layout)
+    stored = ids.select("slot", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"))
+    return manifest.join(stored, "slot").select("doc_id", "seq", "n_tokens", "slot", "shard", "byte_offset", "ids_sha256")
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+    base = F.filter("spans", lambda s: s.base)
+    of_kind = lambda k: F.filter(base, lambda s: s.kind == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)

@@ -170,3 +170,32 @@ def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of each text's values; the values lie in order of the texts."""
     total = np.concatenate([[0], np.cumsum(values)])
     return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def subwords(words: pa.Array, buckets: int, shortest: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed features of all words, each word's bounds): the word itself and its n-grams in bytes, ends marked."""
+    data, starts, lengths = joined(words)
+    marked = np.full(len(data) + len(words), ord(">"), dtype=np.uint8)  # <word> without gaps
+    begin = starts + np.arange(len(words))
+    marked[begin] = ord("<")
+    into = np.arange(len(data)) + np.repeat(np.arange(len(words)), lengths + 1) + 1
+    keep = np.ones(len(data), dtype=bool)
+    keep[starts + lengths] = False
+    marked[into[keep]] = data[keep]
+    size = lengths + 2
+    owner = np.repeat(np.arange(len(words)), size)
+    left = np.repeat(begin + size, size) - np.arange(len(marked))  # bytes up to the word's end
+    features, owners = [(xxh64(data, starts, lengths, 1) % np.uint64(buckets)).astype(np.int64)], [np.arange(len(words))]
+    rolled = np.zeros(len(marked), dtype=np.uint64)
+    padded = np.concatenate([marked, np.zeros(longest, np.uint8)]).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        for n in range(1, longest + 1):
+            rolled = (rolled + padded[n - 1 : n - 1 + len(marked)] + np.uint64(1)) * np.uint64(0x9E3779B185EBCA87)
+            rolled ^= rolled >> np.uint64(29)
+            if n >= shortest:
+                fits = left >= n
+                features.append(((rolled[fits] * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64))
+                owners.append(owner[fits])
+    features, owners = np.concatenate(features), np.concatenate(owners)
+    order = np.argsort(owners, kind="stable")
+    return features[order], np.searchsorted(owners[order], np.arange(len(words) + 1))
