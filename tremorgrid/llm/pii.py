@@ -96,7 +96,8 @@ def matches(docs: DataFrame, options: Bootstrap = Bootstrap()) -> DataFrame:
     base = F.col("ok") & (F.col("kind") != "candidate")
     order = Window.partitionBy("rid").orderBy("start")
     reach = F.max(F.when(base, F.col("end"))).over(order.rangeBetween(Window.unboundedPreceding, 0))
-    ahead = F.min(F.when(base, F.col("start"))).over(order.rangeBetween(1, Window.unboundedFollowing))
+    back = Window.partitionBy("rid").orderBy(F.desc("start"))  # a frame that only grows
+    ahead = F.min(F.when(base, F.col("start"))).over(back.rangeBetween(Window.unboundedPreceding, -1))
     clear = (F.coalesce(reach, F.lit(0)) <= F.col("start")) & (F.coalesce(ahead, F.col("end")) >= F.col("end"))
     rows = rows.withColumn("clear", clear)
     ok = F.col("ok") & ((F.col("kind") != "candidate") | (F.col("clear") & (F.char_length("found") >= options.shortest)))
