@@ -200,5 +200,5 @@ def test_top_cells_break_ties_in_grid_order(spark):
 def test_cutoffs_are_reproducible_and_checked(matrix):
     cfg = CFG.with_(min_history_days=5, n_cutoffs=3)
     assert backtest.cutoff_list(matrix, cfg) == backtest.cutoff_list(matrix.repartition(7), cfg)
-    with pytest.raises(ValueError, match="eligible"):
+    with pytest.raises(ValueError, match="enough history"):
         backtest.cutoff_list(matrix, CFG)

@@ -102,13 +102,7 @@ def percent_text(x: Column) -> Column:
 
 def parse_instant(text: Column) -> Column:
     """A date or date-time text as a timestamp; NULL where it is neither."""
-    t = F.trim(text)
-    return F.coalesce(
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd")),
-        F.try_to_timestamp(t),
-    )
+    return F.try_to_timestamp(F.trim(text))
 
 
 def null_if_nan(x: Column) -> Column:

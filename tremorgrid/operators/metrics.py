@@ -10,21 +10,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremorgrid.operators.ordered import (
-    ordered_counts, quantiles_of, running_totals, unit_bucket,
+    even_buckets, null_safe_join, ordered_counts, quantiles_of, running_totals,
 )
 
 
+def scored_rows(scored: DataFrame, score: str = "proba") -> DataFrame:
+    """Rows that have a score."""
+    return scored.where(F.col(score).isNotNull() & ~F.isnan(score))
+
+
 def score_table(scored: DataFrame, groups: list[str], label: str = "target",
                 score: str = "proba") -> DataFrame:
     """Per distinct score: its positives and negatives (``pos``, ``neg``), those
-    scored at least as high (``tp``, ``fp``) and the group's totals."""
-    counts = scored.groupBy(*groups, score).agg(
+    scored at least as high (``tp``, ``fp``) and the group's totals.
+
+    Rows without a score (NULL or NaN, as of a model that is absent) take no
+    part in any metric; ``n`` counts those that do."""
+    counts = scored_rows(scored, score).groupBy(*groups, score).agg(
         F.sum(F.col(label)).cast("long").alias("pos"),
         F.sum(1 - F.col(label)).cast("long").alias("neg"),
     )
+    spread, bucket = even_buckets(counts, groups, score)
     return running_totals(
-        counts, groups, unit_bucket(F.col(score)), score, ["pos", "neg"], descending=True
-    ).withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp", "all_pos": "positives",
+        spread, groups, bucket, score, ["pos", "neg"], descending=True
+    ).drop("_splits").withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp", "all_pos": "positives",
                           "all_neg": "negatives", score: "threshold"})
 
 
@@ -72,7 +81,7 @@ def threshold_metrics(scored: DataFrame, groups: list[str], threshold: float = 0
                       label: str = "target", score: str = "proba") -> DataFrame:
     """Confusion counts, precision, recall, F1 and Brier score in one pass."""
     yes, hit = F.col(label) == 1, F.col(score) >= threshold
-    counts = scored.groupBy(*groups).agg(
+    counts = scored_rows(scored, score).groupBy(*groups).agg(
         F.count_if(~yes & ~hit).alias("tn"), F.count_if(~yes & hit).alias("fp"),
         F.count_if(yes & ~hit).alias("fn"), F.count_if(yes & hit).alias("tp"),
         F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score"),
@@ -111,10 +120,11 @@ def calibration(scored: DataFrame, groups: list[str], n_bins: int = 10,
                 label: str = "target", score: str = "proba") -> DataFrame:
     """Observed rate against mean score in quantile bins; empty bins vanish."""
     inner = [k / n_bins for k in range(1, n_bins)]
+    scored = scored_rows(scored, score)
     edges = quantiles_of(ordered_counts(scored, groups, score), groups, score, inner)
     per_group = edges.groupBy(*groups).agg(F.collect_list("q").alias("edges"))
     below = F.size(F.filter("edges", lambda e: e < F.col(score)))
-    return scored.join(per_group, groups).groupBy(*groups, below.alias("bin")).agg(
+    return null_safe_join(scored, per_group, groups).groupBy(*groups, below.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(score).alias("mean_predicted"),
         F.avg(F.col(label).cast("double")).alias("observed_rate"),
@@ -124,6 +134,7 @@ def calibration(scored: DataFrame, groups: list[str], n_bins: int = 10,
 def by_group(scored: DataFrame, groups: list[str], label: str = "target",
              score: str = "proba") -> DataFrame:
     """n, positive rate, mean score, ROC-AUC, average precision and Brier per group."""
+    scored = scored_rows(scored, score)
     plain = scored.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col(label)).cast("long").alias("positives"),
@@ -132,7 +143,7 @@ def by_group(scored: DataFrame, groups: list[str], label: str = "target",
         F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier"),
     )
     ranks = rank_metrics(score_table(scored, groups, label, score), groups)
-    return plain.join(ranks, groups)
+    return null_safe_join(plain, ranks, groups)
 
 
 def compare_models(scored: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS = 65_536
+SPLITS = 128
 
 
 def unit_bucket(x: Column) -> Column:
@@ -20,6 +21,26 @@ def unit_bucket(x: Column) -> Column:
     return F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)) * (BUCKETS - 1)).cast("int")
 
 
+def even_buckets(df: DataFrame, groups: list[str], key: str) -> tuple[DataFrame, Column]:
+    """``df`` with each group's splitters, and the bucket of ``key`` between them.
+
+    Splitters are approximate quantiles of the group, so heavy tails, crowded
+    or infinite values leave the buckets even; the order of buckets follows the
+    order of keys whatever the approximation.
+    """
+    points = F.array(*[F.lit(k / SPLITS) for k in range(1, SPLITS)])
+    splits = df.groupBy(*groups).agg(F.percentile_approx(key, points, 4 * SPLITS).alias("_splits"))
+    placed = null_safe_join(df, splits, groups)
+    return placed, F.size(F.filter("_splits", lambda s: s < F.col(key)))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys``, where NULL meets NULL; keys are kept once."""
+    other = right.withColumnsRenamed({k: f"_other_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys]
+    return left.join(other, same).drop(*[f"_other_{k}" for k in keys])
+
+
 def running_totals(df: DataFrame, groups: list[str], bucket: Column, key: str,
                    measures: list[str], descending: bool = False) -> DataFrame:
     """Add ``cum_<m>`` (up to and including the row, in order of ``key``) and
@@ -28,10 +49,7 @@ def running_totals(df: DataFrame, groups: list[str], bucket: Column, key: str,
     def sort(name: str) -> Column:
         return F.desc(name) if descending else F.asc(name)
 
-    # known to be non-null on both sides of the join below, the counts behind
-    # ``df`` are computed once and their shuffle is shared
-    rows = (df.dropna(subset=groups) if groups else df).withColumn(
-        "_bucket", F.coalesce(bucket, F.lit(0).cast("int")) if groups else bucket)
+    rows = df.withColumn("_bucket", F.coalesce(bucket, F.lit(0).cast("int")) if groups else bucket)
     per_bucket = rows.groupBy(*groups, "_bucket").agg(
         *[F.sum(m).alias(f"_in_{m}") for m in measures])
     group = Window.partitionBy(*[F.col(g) for g in groups] or [F.lit(0)])
@@ -44,7 +62,7 @@ def running_totals(df: DataFrame, groups: list[str], bucket: Column, key: str,
     )
     inside = (Window.partitionBy(*groups, "_bucket").orderBy(sort(key))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = rows.join(offsets, [*groups, "_bucket"])
+    joined = null_safe_join(rows, offsets, [*groups, "_bucket"])
     return joined.withColumns({
         f"cum_{m}": F.sum(m).over(inside) + F.col(f"_before_{m}") for m in measures
     }).drop("_bucket", *[f"_before_{m}" for m in measures])
@@ -54,11 +72,8 @@ def ordered_counts(values: DataFrame, groups: list[str], value: str) -> DataFram
     """Distinct values with their count ``n`` and running count, per group."""
     counts = values.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(
         F.count(F.lit(1)).alias("n"))
-    span = counts.groupBy(*groups).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    place = F.coalesce(F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo")),
-                       F.lit(0.0))
-    ranged = counts.join(span, groups)
-    return running_totals(ranged, groups, unit_bucket(place), value, ["n"]).drop("_lo", "_hi")
+    ranged, bucket = even_buckets(counts, groups, value)
+    return running_totals(ranged, groups, bucket, value, ["n"]).drop("_splits")
 
 
 def quantiles_of(ordered: DataFrame, groups: list[str], value: str,
@@ -162,10 +177,18 @@ def with_row_index(df: DataFrame, blocks: list[str], order: list[str]) -> DataFr
 def sample_exactly(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
     """Exactly ``n`` rows (or all, if fewer) in a reproducible random choice.
 
-    Rows are ranked by a hash of their unique key; whole hash buckets below
-    the cut are kept and only the bucket at the cut is ranked inside.
+    Rows are ordered by a hash of their unique key and counted by its first
+    digits (at most 65,536 counts). Rows in buckets below the cut are kept as
+    they are; only the rows of the bucket at the cut are ranked.
     """
     hashed = df.withColumn("_hash", F.md5(F.concat_ws(":", F.lit(seed), F.col(key))))
-    ranked = running_totals(hashed.withColumn("_one", F.lit(1)), [], F.substring("_hash", 1, 4),
-                            "_hash", ["_one"])
-    return ranked.where(F.col("cum__one") <= n).select(*df.columns)
+    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, 4))
+    counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = counts.withColumn("_before", before).where(F.col("_before") < n).agg(
+        F.max(F.struct("_bucket", "_before")).alias("c")).first()["c"]
+    if cut is None:
+        return df.limit(0)
+    below = hashed.where(F.col("_bucket") < cut["_bucket"])
+    at = hashed.where(F.col("_bucket") == cut["_bucket"]).orderBy("_hash").limit(n - cut["_before"])
+    return below.unionByName(at).select(*df.columns)

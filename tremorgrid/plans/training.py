@@ -30,7 +30,11 @@ def prepare(rows: DataFrame, imputation: Imputation, extra: tuple[str, ...] = ()
 
 
 def combinations(grid: dict[str, list]) -> list[dict]:
-    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+    """All parameter sets of a grid, the last name varying fastest."""
+    sets: list[dict] = [{}]
+    for name, values in grid.items():
+        sets = [known | {name: value} for known in sets for value in values]
+    return sets
 
 
 def fit(model: str, train: DataFrame, columns: list[str], params: dict, seed: int):
@@ -60,31 +64,44 @@ def grid_search(model: str, train: DataFrame, columns: list[str], grid: dict[str
         (no, params), (fold, (train_end, start, end)) = job
         part = train.where(index < train_end)
         judged = train.where((index >= start) & (index < end))
-        # early folds may hold a single class: no model, no score
+        # an early fold may hold a single class: no model, and a fold without a score
         pos, neg = boosting.class_counts(part)
         if pos == 0 or neg == 0:
-            return None
+            return no, fold
         _, score = fit(model, part, columns, params, cfg.seed)
         return score(judged).select(
             F.lit(no).alias("grid_no"), F.lit(fold).alias("fold"), "target", "proba")
 
     jobs = itertools.product(enumerate(combinations(grid)), enumerate(ranges, 1))
     with ThreadPoolExecutor(parallelism) as pool:
-        scored = [s for s in pool.map(run, jobs) if s is not None]
+        results = list(pool.map(run, jobs))
+    scored = [r for r in results if isinstance(r, DataFrame)]
     if not scored:
         raise ValueError("no fold holds both classes")
+    unscored = [r for r in results if not isinstance(r, DataFrame)]
     together = reduce(DataFrame.unionByName, scored)
     groups = ["grid_no", "fold"]
-    scores = metrics.rank_metrics(metrics.score_table(together, groups), groups)
+    scores = metrics.rank_metrics(metrics.score_table(together, groups), groups).select(*groups, "roc_auc")
+    if unscored:
+        scores = scores.unionByName(train.sparkSession.createDataFrame(
+            [(*r, None) for r in unscored], "grid_no int, fold int, roc_auc double"))
     names = F.create_map(*[x for no, p in enumerate(combinations(grid))
                            for x in (F.lit(no), F.lit(str(p)))])
     return scores.select(*groups, "roc_auc", names[F.col("grid_no")].alias("params"))
 
 
 def grid_scores(folds: DataFrame) -> DataFrame:
-    """Mean fold score of each parameter set; the first of the best is marked."""
+    """Mean fold score of each parameter set; the first of the best is marked.
+
+    Folds without a score are the same for all sets (their rows decide); a mean
+    over differing folds is refused.
+    """
     means = folds.groupBy("grid_no", "params").agg(
-        F.avg("roc_auc").alias("mean_roc_auc"), F.count("roc_auc").alias("folds_scored"))
+        F.avg("roc_auc").alias("mean_roc_auc"), F.count("roc_auc").alias("folds_scored"),
+        F.array_sort(F.collect_list(F.when(F.col("roc_auc").isNotNull(), F.col("fold")))).alias("_which"))
+    if means.select("_which").distinct().count() > 1:
+        raise ValueError("parameter sets were scored on differing folds")
+    means = means.drop("_which")
     best = means.agg(F.max_by("grid_no", F.struct(
         F.coalesce("mean_roc_auc", F.lit(-1.0)), -F.col("grid_no")))).scalar()
     return means.withColumn("is_best", F.col("grid_no") == best)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,7 +37,8 @@ def build_session(app_name: str = "tremorgrid", master: str | None = None, **con
 def shared_dir(spark: SparkSession) -> str:
     """The reliable folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) a temporary folder is set.
+    Only where none is named and everything runs in one process (local tests) a
+    temporary folder is set; on a cluster executors would not see each other's.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -45,6 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tremorgrid-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

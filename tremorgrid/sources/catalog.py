@@ -63,8 +63,9 @@ def plan_time_chunks(events: DataFrame, start, end, cap: int, max_depth: int = 2
     """Split [start, end) by halving until each piece holds at most ``cap`` events.
 
     Events are counted once, in the finest pieces; counts of the coarser ones
-    are sums of those. A piece is kept if it fits and its parent does not, or
-    if it cannot be halved any further. Empty pieces are left out.
+    are sums of those. A piece is kept if it fits and its parent does not. Empty
+    pieces are left out. A piece that is still too big after ``max_depth``
+    halvings raises: a fetch by such a plan would be cut off at the source.
     """
     micros = F.unix_micros(F.col("time").cast("timestamp"))
     first = F.unix_micros(F.lit(start).cast("timestamp"))
@@ -84,8 +85,11 @@ def plan_time_chunks(events: DataFrame, start, end, cap: int, max_depth: int = 2
     parent_too_big = (F.sum("n").over(siblings) > cap) | (F.col("level") == 0)
     size = width * F.pow(F.lit(2), F.lit(max_depth) - F.col("level")).cast("long")
     begin = first + F.col("node") * size
+    too_big = (F.col("level") == max_depth) & (F.col("n") > cap)
+    size_or_error = F.when(too_big, F.raise_error(F.concat(
+        F.lit(f"more than {cap} events after {max_depth} halvings from microsecond "), begin)).cast("long")).otherwise(F.col("n"))
     return nodes.withColumn("keep", fits_alone & parent_too_big).where("keep").select(
-        "level", "node", F.col("n").alias("rows"),
+        "level", "node", size_or_error.alias("rows"),
         F.timestamp_micros(begin).alias("start"),
         F.timestamp_micros(F.least(begin + size, last)).alias("end"),
     )

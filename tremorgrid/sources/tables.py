@@ -30,11 +30,18 @@ class TableStore:
 
     def write(self, df: DataFrame, artifact: str, run_id: str,
               month_of: str | None = None, sort_by: list[str] | None = None) -> str:
-        """Write a table version; optionally partitioned by the month of a date."""
+        """Write a table version; optionally partitioned by the month of a date.
+
+        Months are dealt out first, so that a month has a few files and not one
+        per task. A run that is published already is refused: its readers
+        would lose their files.
+        """
+        self._refuse_published(artifact, run_id)
         parts: list[str] = []
         if month_of:
             df = df.withColumn("month", F.date_format(month_of, "yyyy-MM"))
             parts = ["month"]
+            df = df.hint("rebalance", "month")
         if sort_by:
             df = df.sortWithinPartitions(*parts, *sort_by)
         target = self.path(artifact, run_id)
@@ -43,6 +50,7 @@ class TableStore:
 
     def write_report(self, report: DataFrame, artifact: str, run_id: str) -> str:
         """Write a small report (one row of nested values) as JSON."""
+        self._refuse_published(artifact, run_id)
         target = self.path(artifact, run_id)
         report.coalesce(1).write.mode("overwrite").json(target)
         return target
@@ -56,6 +64,17 @@ class TableStore:
          .withColumn("published_at", F.current_timestamp())
          .coalesce(1).write.mode("append").parquet(f"{self.root}/manifest"))
 
+    def _refuse_published(self, artifact: str, run_id: str) -> None:
+        row = F.col("artifact") == artifact
+        try:
+            taken = not self.manifest().where(row & (F.col("run_id") == run_id)).isEmpty()
+        except Exception as e:  # no manifest has been written yet
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return
+        if taken:
+            raise FileExistsError(f"run {run_id} of {artifact} is published; write under another run id")
+
     def manifest(self) -> DataFrame:
         return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest")
 

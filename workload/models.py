@@ -114,7 +114,7 @@ def grid_search_scores(spark, d):
 
 @query("walk_forward_gbt")
 def walk_forward_gbt(spark, d):
-    cfg = CFG.with_(n_cutoffs=3)
+    cfg = CFG
     matrix = materialize(orders_matrix(spark, d), "matrix")
     cutoffs = backtest.cutoff_list(matrix, cfg)
     scorer = backtest.gbt_scorer(GBT["depth"], GBT["rate"], GBT["rounds"], cfg)

@@ -247,8 +247,17 @@ def duplicate_ids(spark, d):
 
 @query("duplicate_share", f"""
 select cast(sum(c) as bigint) as n_rows, cast(sum(c - 1) as bigint) as n_duplicates from (
-  select count(*) as c from events group by event_type, user_id, value) g""")
+  select count(*) as c from ({S.EVENTS_RAW}) r group by all) g""")
 def duplicate_share(spark, d):
+    """Repeated whole rows of the catalog."""
+    return profile.duplicate_share(raw_events(spark, d))
+
+
+@query("duplicate_share_keys", f"""
+select cast(sum(c) as bigint) as n_rows, cast(sum(c - 1) as bigint) as n_duplicates from (
+  select count(*) as c from events group by event_type, user_id, value) g""")
+def duplicate_share_keys(spark, d):
+    """Rows of the events table that repeat in three of its columns."""
     return profile.duplicate_share(
         views.read_table(spark, d, "events").select("event_type", "user_id", "value"))
 
