@@ -196,12 +196,15 @@ def profile_distinct(spark, d):
 
 
 @query("profile_columns", f"""
-select "column", {q('avg(value)')} as mean, {q('stddev_samp(value)')} as std,
+with l as ({_long(_PROFILED)}), m as (select "column", avg(value) as mu from l group by 1)
+select l."column", {q('avg(value)')} as mean, {q('stddev_samp(value)')} as std,
        {q('min(value)')} as min, {q('max(value)')} as max,
+       {q('sum(pow(value - mu, 3)) / count(value) / pow(var_pop(value), 1.5)')} as skewness,
+       {q('sum(pow(value - mu, 4)) / count(value) / pow(var_pop(value), 2) - 3')} as kurtosis,
        count(*) filter (where value = 0) as n_zeros, count(*) filter (where value < 0) as n_negative
-from ({_long(_PROFILED)}) l group by 1""")
+from l join m on l."column" = m."column" group by 1""")
 def profile_columns(spark, d):
-    return profile.numeric_stats(raw_events(spark, d)).drop("skewness", "kurtosis")
+    return profile.numeric_stats(raw_events(spark, d))
 
 
 @query("profile_quantiles", f"""
@@ -234,9 +237,39 @@ def profile_correlations(spark, d):
     return profile.correlations(raw_events(spark, d))
 
 
-@query("profile_report")
+_CATALOG = ["id", "time", "updated", "latitude", "longitude", "depth", "mag", "magType", "type"]
+
+
+@query("profile_report", f"""
+with r as ({S.EVENTS_RAW}),
+t as ({" union all ".join(f"""select '{c}' as "column", cast("{c}" as varchar) as v from r""" for c in _CATALOG)}),
+vc as (select "column", v, count(*) as n from t group by 1, 2),
+ds as (select "column", cast(sum(n) as bigint) as n_rows, cast(coalesce(sum(n) filter (where v is null), 0) as bigint) as n_missing,
+              count(*) filter (where v is not null) as n_distinct, count(*) filter (where v is not null and n = 1) as n_unique,
+              max(n) filter (where v is not null) as top_count
+       from vc group by 1),
+tv as (select vc."column", max(v) as top_value from vc join ds on ds."column" = vc."column" and n = top_count where v is not null group by 1),
+l as ({_long(_PROFILED)}), m as (select "column", avg(value) as mu from l group by 1),
+ns as (select l."column", avg(value) as mean, stddev_samp(value) as std, min(value) as min, max(value) as max,
+              sum(pow(value - mu, 3)) / count(value) / pow(var_pop(value), 1.5) as skewness,
+              sum(pow(value - mu, 4)) / count(value) / pow(var_pop(value), 2) - 3 as kurtosis,
+              count(*) filter (where value = 0) as n_zeros, count(*) filter (where value < 0) as n_negative,
+              {", ".join(f"quantile_cont(value, {p}) as p{round(p * 100)}" for p in profile.QUANTILES)}
+       from l join m on m."column" = l."column" group by 1),
+pr as ({" union all ".join(f"select '{a}' as a, '{b}' as b, corr({a}, {b}) as r from r" for a in _PROFILED for b in _PROFILED if a != b)}),
+st as (select a, max(abs(r)) as s from pr where r is not null group by 1),
+sp as (select pr.a as "column", max(b) as correlated_with, arg_max(r, b) as pearson from pr join st on st.a = pr.a and abs(r) = s group by 1)
+select ds."column", n_rows, n_missing, n_distinct, n_unique, top_value, top_count, {q('mean')} as mean, {q('std')} as std,
+       {q('min')} as min, {q('max')} as max, {q('skewness')} as skewness, {q('kurtosis')} as kurtosis, n_zeros, n_negative,
+       {", ".join(f"{q(f'p{round(p * 100)}')} as p{round(p * 100)}" for p in profile.QUANTILES)}, correlated_with, {q('pearson')} as pearson,
+       concat_ws(',', case when n_distinct = 1 then 'constant' end, case when n_distinct = n_rows and n_rows > 1 then 'unique' end,
+                 case when n_missing / n_rows >= 0.05 then 'missing' end, case when top_count / n_rows >= 0.95 then 'imbalance' end,
+                 case when n_zeros / n_rows >= 0.10 then 'zeros' end, case when abs(skewness) > 20 then 'skewed' end,
+                 case when abs(pearson) > 0.9 then 'high_correlation' end) as alerts
+from ds left join tv on tv."column" = ds."column" left join ns on ns."column" = ds."column" left join sp on sp."column" = ds."column"
+""")
 def profile_report(spark, d):
-    return profile.profile(raw_events(spark, d), "full")
+    return profile.profile(raw_events(spark, d), "full").withColumn("alerts", F.array_join("alerts", ","))
 
 
 @query("duplicate_ids",
@@ -247,7 +280,8 @@ def duplicate_ids(spark, d):
 
 @query("duplicate_share", f"""
 select cast(sum(c) as bigint) as n_rows, cast(sum(c - 1) as bigint) as n_duplicates from (
-  select count(*) as c from ({S.EVENTS_RAW}) r group by all) g""")
+  select count(*) as c from ({S.EVENTS_RAW}) r
+  group by id, time, updated, latitude, longitude, depth, mag, "magType", type) g""")
 def duplicate_share(spark, d):
     """Repeated whole rows of the catalog."""
     return profile.duplicate_share(raw_events(spark, d))
@@ -490,12 +524,14 @@ def feature_matrix_long(spark, d):
 
 @query("data_dictionary", f"with {_MX_E} " + " union all ".join(
     f"""select {k} as column_no, '{c}' as "column",
+        '{dict(day="date", horizon_day="int", target="int").get(c, "double")}' as dtype,
+        '{reports.describe_columns(CFG).get(c, "").replace("'", "''")}' as description,
         round(avg(case when {c} is null then 1.0 else 0.0 end) * 100, 3) + 1e-9 as pct_missing
         from mx""" for k, c in enumerate(
         ["day", "horizon_day", "cell_lat", "cell_lon", *S.FEATURE_NAMES, "target"])).replace(
         "+ 1e-9 as pct_missing", "as pct_missing"))
 def data_dictionary(spark, d):
-    return reports.data_dictionary(events_matrix(spark, d), CFG).drop("dtype", "description")
+    return reports.data_dictionary(events_matrix(spark, d), CFG)
 
 
 @query("feature_report", f"""
