@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorgrid.llm.tables import documents
 from tremorgrid.llm.text import row_sums, slices, space_words, texts_of
@@ -156,3 +156,19 @@ def quality_rules(docs: DataFrame, rules: RepetitionRules = RepetitionRules(), i
             yield _measure(part, rules)
 
     return documents(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+
+
+def passes(text: Column, rules: RepetitionRules = RepetitionRules()) -> Column:
+    """Whether a text passes the rules, as a column: filters rows where they are, without a join."""
+
+    @F.pandas_udf("boolean")
+    def judged(texts):
+        import pandas as pd
+
+        pa.set_cpu_count(1)
+        whole = pa.array(texts, pa.string(), from_pandas=True)
+        batch = pa.RecordBatch.from_arrays([pa.nulls(len(whole), pa.int64()), whole], names=["doc_id", "text"])
+        found = [_measure(part, rules).column("kept").to_numpy(zero_copy_only=False) for part in slices([batch], "text")]
+        return pd.Series(np.concatenate(found) if found else np.zeros(0, bool), index=texts.index)
+
+    return judged(text.cast("string"))

@@ -207,6 +207,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return nodes.union(current.select(F.col("b"), F.col("b")).distinct())
 
 
+def rooted_fingerprints(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, one) of every distinct fingerprint: its component's root, and its first row: the smallest id,
+    null ids last, then by a hash of the text. Equal fingerprints are combined before the shuffle."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("one")
+    by_fp = materialize(rows.groupBy("fp").agg(first), "distinct_fingerprints")
+    roots = components(links(by_fp.select("fp"), radius))
+    return by_fp.join(roots, by_fp.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "one")
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_key, fp, fingerprint, component_id), one row per input row.
 
@@ -218,10 +227,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, id_col: st
     empty table gives an empty result.
     """
     rows = materialize(fingerprints(docs, width, id_col, text_col), "fingerprints")
-    by_fp = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
-    roots = components(links(by_fp.select("fp"), radius))
-    rooted = by_fp.join(roots, by_fp.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = rooted_fingerprints(rows, radius)
+    named = rooted.groupBy("root").agg(F.min("one.doc_id").alias("component_id"))
     by_fp_named = rooted.join(named, "root").select("fp", "component_id")
     return rows.join(by_fp_named, "fp").select(
         "doc_id", "text_key", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -230,10 +237,9 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, id_col: st
 def one_of_each(docs: DataFrame, width: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id stays
     (null ids last, then by a hash of the text); of equal rows one. All columns are kept."""
-    found = near_duplicates(docs, width, radius, id_col, text_col)
-    first = found.groupBy("fp", "component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("one"))
-    by_fp = first.groupBy(F.coalesce("component_id", "fp").alias("c"), F.col("component_id").isNull()).agg(F.min("one").alias("one"))
-    stay = by_fp.select(F.col("one.doc_id").alias("_stay_id"), F.col("one.text_key").alias("_stay_key"))
+    rows = materialize(fingerprints(docs, width, id_col, text_col), "fingerprints")
+    first = rooted_fingerprints(rows, radius).groupBy("root").agg(F.min("one").alias("one"))
+    stay = first.select(F.col("one.doc_id").alias("_stay_id"), F.col("one.text_key").alias("_stay_key"))
     keyed = docs.withColumn("_text_key", text_key(F.col(text_col).cast("string")))
     met = keyed.join(stay, (F.col("_text_key") == F.col("_stay_key")) & F.col(id_col).cast("long").eqNullSafe(F.col("_stay_id")), "left_semi")
     order = Window.partitionBy("_text_key", id_col).orderBy(F.lit(1))
