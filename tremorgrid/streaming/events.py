@@ -11,6 +11,9 @@ from tremorgrid.operators.cleaning import keep_latest
 from tremorgrid.operators.grid import CELL, with_cells
 
 
+FADED = 1e-12  # a decayed count below this is nothing
+
+
 def run_available(stream: DataFrame, checkpoint: str, **options) -> StreamingQuery:
     """A writer that works through what has arrived and stops."""
     return (stream.writeStream.option("checkpointLocation", checkpoint)
@@ -62,27 +65,40 @@ def decay_stream(events: DataFrame, root: str, checkpoint: str, half_life: int,
 
     The state is one number per cell, as of the newest day seen. Decay is
     linear, so a batch is one aggregate added to the decayed state and late
-    events need no special care. Each batch writes a new version from its
-    predecessor's, hence repeating a batch gives the same result.
+    events need no special care. An event that is sent again or revised takes
+    the place of its earlier version, whose share is subtracted; for that the
+    received events are kept beside the state. Cells whose count has faded away
+    are dropped. Each batch writes a new version from its predecessor's, hence
+    repeating a batch gives the same result.
     """
 
     def update(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = with_cells(batch, cfg).select(
-            *CELL, fn.day_number(F.col("time")).alias("as_of"), F.lit(1.0).alias("decayed"))
-        known = fresh if batch_id == 0 else fresh.unionByName(
-            spark.read.parquet(f"{root}/version={batch_id - 1}"))
+        fresh = keep_latest(batch)
+        changes = fresh.withColumn("decayed", F.lit(1.0))
+        if batch_id:
+            received = spark.read.parquet(f"{root}/events").where(F.col("batch_id") < batch_id)
+            earlier = keep_latest(received.join(fresh.select("id"), "id", "left_semi").select(received.columns), arrival="batch_id")
+            both = earlier.unionByName(fresh.withColumn("batch_id", F.lit(batch_id)))
+            changes = keep_latest(both, arrival="batch_id").withColumn("decayed", F.lit(1.0)).unionByName(
+                earlier.withColumn("decayed", F.lit(-1.0)))
+        fresh.write.mode("overwrite").parquet(f"{root}/events/batch_id={batch_id}")
+        known = with_cells(changes, cfg).select(
+            *CELL, fn.day_number(F.col("time")).alias("as_of"), "decayed")
+        if batch_id:
+            known = known.unionByName(spark.read.parquet(f"{root}/cells/version={batch_id - 1}"))
         newest = known.agg(F.max("as_of")).scalar()
         weight = fn.decay_weight(newest - F.col("as_of"), half_life)
         known.groupBy(*CELL).agg(
             F.sum(F.col("decayed") * weight).alias("decayed")
-        ).withColumn("as_of", newest).write.mode("overwrite").parquet(f"{root}/version={batch_id}")
+        ).where(F.col("decayed") > FADED).withColumn("as_of", newest).write.mode("overwrite").parquet(
+            f"{root}/cells/version={batch_id}")
 
     return run_available(events, checkpoint).foreachBatch(update).start()
 
 
 def decay_state(spark: SparkSession, root: str) -> DataFrame:
     """Newest complete version of the decayed counts."""
-    versions = spark.read.parquet(root)
+    versions = spark.read.parquet(f"{root}/cells")
     newest = versions.agg(F.max("version")).scalar()
     return versions.where(F.col("version") == newest).drop("version")
