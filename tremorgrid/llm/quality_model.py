@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
 A text is the average of learned vectors of its hashed words and character
-n-grams; a softmax over the classes follows. Vectors and softmax are trained
+n-grams, and of one more for each word that repeats the word before it; a
+softmax over the classes follows. Vectors and softmax are trained
 together by stochastic gradient descent in numpy on a bounded sample of
 labelled rows. Averaging is linear, so for scoring each hashed feature reduces
 to one number per class, and a text's score is read off its distinct words.
@@ -29,6 +30,7 @@ class QualityConfig:
     epochs: int = 12
     rate: float = 0.3
     max_labelled: int = 4000  # documented bound of the training sample
+    prior_features: int = 40  # a text leans to the prior as if it had so many more features that say just that
     seed: int = 7
 
 
@@ -41,6 +43,14 @@ def _rows(batches: Iterator[pa.RecordBatch], cfg: QualityConfig):
         yield part, features, edges, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), bounds
 
 
+def _repeats(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Words of each text that repeat the word before."""
+    same = np.zeros(len(codes), dtype=np.int64)
+    same[1:] = codes[1:] == codes[:-1]
+    same[bounds[:-1][bounds[:-1] < len(codes)]] = 0
+    return row_sums(same, bounds)
+
+
 def labelled_features(labelled: DataFrame, cfg: QualityConfig) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """Label, features and their counts of at most ``cfg.max_labelled`` rows, those first in a hash order of the id."""
     order = F.xxhash64(F.col("doc_id"), F.lit(cfg.seed))
@@ -49,13 +59,16 @@ def labelled_features(labelled: DataFrame, cfg: QualityConfig) -> list[tuple[int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, features, edges, codes, bounds in _rows(batches, cfg):
             found, counts = [], []
-            for a, b in zip(bounds[:-1], bounds[1:]):
+            for a, b, again in zip(bounds[:-1], bounds[1:], _repeats(codes, bounds)):
                 own, times = np.unique(codes[a:b], return_counts=True)
                 spans = np.concatenate([features[edges[w] : edges[w + 1]] for w in own]) if len(own) else np.zeros(0, np.int64)
                 weight = np.repeat(times, edges[own + 1] - edges[own]) if len(own) else np.zeros(0, np.int64)
                 ids, where = np.unique(spans, return_inverse=True)
+                sums = np.bincount(where, weights=weight, minlength=len(ids))
+                if again:
+                    ids, sums = np.append(ids, cfg.buckets), np.append(sums, again)
                 found.append(ids.astype(np.int32).tobytes())
-                counts.append(np.bincount(where, weights=weight, minlength=len(ids)).astype(np.float32).tobytes())
+                counts.append(sums.astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(found, pa.binary()), pa.array(counts, pa.binary())],
                                              names=["doc_id", "label", "ids", "counts"])
 
@@ -64,12 +77,15 @@ def labelled_features(labelled: DataFrame, cfg: QualityConfig) -> list[tuple[int
 
 
 def train(rows: list[tuple[int, np.ndarray, np.ndarray]], cfg: QualityConfig) -> tuple[np.ndarray, float]:
-    """(log odds of label 1 per hashed feature, bias). Without both labels: zeros and the smoothed prior."""
+    """(log odds of label 1 per hashed feature, bias). Without both labels: zeros and the smoothed prior.
+
+    The last feature stands for repeated words.
+    """
     positive = sum(r[0] for r in rows)
     if not 0 < positive < len(rows):
-        return np.zeros(cfg.buckets, dtype=np.float32), float(np.log((positive + 1) / (len(rows) - positive + 1)))
+        return np.zeros(cfg.buckets + 1, dtype=np.float32), float(np.log((positive + 1) / (len(rows) - positive + 1)))
     rng = np.random.default_rng(cfg.seed)
-    vectors = rng.uniform(-1 / cfg.width, 1 / cfg.width, (cfg.buckets, cfg.width)).astype(np.float32)
+    vectors = rng.uniform(-1 / cfg.width, 1 / cfg.width, (cfg.buckets + 1, cfg.width)).astype(np.float32)
     weights, bias = np.zeros((cfg.width, 2), dtype=np.float32), np.zeros(2, dtype=np.float32)
     steps, at = cfg.epochs * len(rows), 0
     for _ in range(cfg.epochs):
@@ -98,12 +114,15 @@ def quality_scores(docs: DataFrame, labelled: DataFrame, cfg: QualityConfig = Qu
 
     ``labelled``: doc_id, text, label (0 or 1) to learn from; rows with a null
     label are left out, rows labelled twice count twice. Texts that are null or
-    empty, or all of whose features are unknown, get the prior's score. Rows
+    empty get the prior's score, and short ones lean to it. Rows
     with equal or null ids stay apart; other columns are ignored. The model is
     one float per bucket, so what is shipped to the tasks has a fixed size.
     """
     known = labelled.where("label in (0, 1)").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("label").cast("int"))
-    odds, bias = train(labelled_features(known, cfg), cfg)
+    rows = labelled_features(known, cfg)
+    odds, bias = train(rows, cfg)
+    positive = sum(r[0] for r in rows)
+    prior = float(np.log((positive + 1) / (len(rows) - positive + 1)))
     model = docs.sparkSession.sparkContext.broadcast(odds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +130,10 @@ def quality_scores(docs: DataFrame, labelled: DataFrame, cfg: QualityConfig = Qu
         for part, features, edges, codes, bounds in _rows(batches, cfg):
             total = row_sums(model.value[features].astype(np.float64), edges)
             n = np.diff(edges)
-            logit = bias + row_sums(total[codes], bounds) / np.maximum(1, row_sums(n[codes], bounds))
+            again = _repeats(codes, bounds)
+            said = row_sums(total[codes], bounds) + again * float(model.value[-1])
+            heard = row_sums(n[codes], bounds) + again
+            logit = (bias * heard + said + cfg.prior_features * prior) / np.maximum(1, heard + cfg.prior_features)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(1 / (1 + np.exp(-logit)))], names=["doc_id", "score"])
 
     scored = documents(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
