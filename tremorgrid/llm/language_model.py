@@ -39,15 +39,14 @@ class LMConfig:
     rounds: int = 2
     batch: int = 8192
     rate: float = 0.15
-    chunk_bytes: int = 8 << 20
+    chunk_bytes: int = 3 << 20
 
     @property
     def slots(self) -> int:
         return self.cells + self.places
 
 
-CHUNK = [np.int32, np.int32, np.int64, np.int64, np.uint8, np.uint8, np.uint64, np.int32, np.int32, np.uint8]
-FEATURES = 5
+CHUNK = [np.int32, np.int32, np.int64, np.int64, np.uint8, np.uint8, np.int32, np.int32, np.uint8]
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -76,7 +75,7 @@ def chunked(docs: DataFrame, cfg: LMConfig) -> DataFrame:
             small[frequent] = np.arange(len(frequent))
             ids = part.column("doc_id")
             blob = pack(small[codes].astype(np.int32), frequent.astype(np.int32), bounds.astype(np.int64), pc.fill_null(ids, 0).to_numpy(zero_copy_only=False),
-                        ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), held.astype(np.uint8), hashes[order],
+                        ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), held.astype(np.uint8),
                         lengths[order].astype(np.int32), learned.astype(np.int32), data[ragged(starts[order], lengths[order])])
             yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([int((~held).sum())]), pa.array([blob], pa.binary())], names=["chunk", "texts", "payload"])
             chunk += 1
@@ -98,7 +97,8 @@ def _shares(chunks: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, payload in zip(batch.column("chunk").to_pylist(), batch.column("payload")):
-                *_, hashes, lengths, learned, data = unpack(payload.as_py(), CHUNK)
+                *_, lengths, learned, data = unpack(payload.as_py(), CHUNK)
+                hashes = xxh64(data, np.cumsum(lengths.astype(np.int64)) - lengths, lengths.astype(np.int64))  # cheaper than shipping them
                 share = ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
                 cuts = np.r_[0, np.flatnonzero(np.diff(share)) + 1, len(share)]
                 edge = np.append(np.cumsum(lengths.astype(np.int64)) - lengths, len(data))
@@ -179,9 +179,10 @@ def vocabulary(counts: DataFrame, texts: int, cfg: LMConfig) -> Vocabulary:
 
 def _chunk_tokens(payload: bytes, vocab: Vocabulary, cfg: LMConfig):
     """(places of all tokens, word number of each or -1 for an end, cells of the words, token bounds, ids, missing, held)."""
-    positions, frequent, bounds, ids, missing, held, hashes, lengths, _, data = unpack(payload, CHUNK)
+    positions, frequent, bounds, ids, missing, held, lengths, _, data = unpack(payload, CHUNK)
     lengths = lengths.astype(np.int64)
-    cell = cells_of(data, np.cumsum(lengths) - lengths, lengths, cfg)
+    starts = np.cumsum(lengths) - lengths
+    cell, hashes = cells_of(data, starts, lengths, cfg), xxh64(data, starts, lengths)
     place = cell // cfg.cells * cfg.slots + cell % cfg.cells
     if len(vocab.hashes) and len(hashes):
         at = np.minimum(np.searchsorted(vocab.hashes, hashes), len(vocab.hashes) - 1)
@@ -197,17 +198,20 @@ def _chunk_tokens(payload: bytes, vocab: Vocabulary, cfg: LMConfig):
 
 
 def _features(tokens: np.ndarray, edges: np.ndarray, cfg: LMConfig) -> list[np.ndarray]:
-    """Hashed features of each token: bias, the word before, the two before, and the second and third before alone."""
+    """Hashed features of each token: the word before, the two before, and the second before alone (a skip).
+
+    Every token has all three, so none is needed for the bias.
+    """
     start = np.repeat(edges[:-1], np.diff(edges))
     inside = np.arange(len(tokens)) - start
     before = []
-    for k in (1, 2, 3):
+    for k in (1, 2):
         x = np.zeros(len(tokens), dtype=np.uint64)
         x[k:] = tokens[:-k].astype(np.uint64) + np.uint64(1)
         x[inside < k] = 0
         before.append(x)
     with np.errstate(over="ignore"):
-        kinds = [np.zeros(len(tokens), np.uint64), before[0], before[1] * np.uint64(1 << 20) + before[0], before[1], before[2]]
+        kinds = [before[0], before[1] * np.uint64(1 << 20) + before[0], before[1]]
         return [_scramble(x * np.uint64(8) + np.uint64(k)) for k, x in enumerate(kinds)]
 
 
@@ -226,11 +230,15 @@ class Softmaxes:
         self.seen = seen or [np.full(len(t), 1e-2, dtype=np.float32) for t in tables]
 
     def _rows(self, features: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
-        small, large = self.cfg.class_rows, self.cfg.place_rows
-        own = (classes.astype(np.uint64) + np.uint64(1)) * _MIX[0]
-        first = np.stack([(f >> np.uint64(40)) % np.uint64(small) for f in features], axis=1)
-        second = np.stack([(_scramble(f ^ own) >> np.uint64(40)) % np.uint64(large) for f in features], axis=1)
-        return [first.astype(np.uint16), second.astype(np.uint16)]
+        """Rows of both tables; their sizes are powers of two, up to 2^16."""
+        small, large = (np.uint64(65 - int(n).bit_length()) for n in (self.cfg.class_rows, self.cfg.place_rows))
+        own = _scramble(classes.astype(np.uint64))
+        first, second = (np.empty((len(classes), len(features)), dtype=np.uint16) for _ in range(2))
+        with np.errstate(over="ignore"):
+            for k, f in enumerate(features):
+                first[:, k] = f >> small
+                second[:, k] = ((f ^ own) * _MIX[2]) >> large
+        return [first, second]
 
     @staticmethod
     def _softmax(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
