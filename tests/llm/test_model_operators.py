@@ -169,6 +169,8 @@ def test_shards_hold_every_sequence(spark):
             want[(r.doc_id, k // length, len(own), tuple(own + [end] * (length - len(own))))] += 1
     stored = {r.slot: tuple(r.ids) for r in training_order.read_slots(spark, folder, layout).collect()}
     rows = manifest.collect()
+    hashed = {r.slot: r.sha256 for r in training_order.read_slots(spark, folder, layout, hashes=True).collect()}
+    assert hashed == {s: hashlib.sha256(np.array(x, "<u2").tobytes()).hexdigest() for s, x in stored.items()}
     assert sorted(r.slot for r in rows) == list(range(layout["sequences"])) == sorted(stored)
     assert Counter((r.doc_id, r.seq, r.n_tokens, stored[r.slot]) for r in rows) == want
     assert layout["shards"] > 3

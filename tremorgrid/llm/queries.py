@@ -59,8 +59,7 @@ def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         end_id=50256, key=20240607, length=256)
     if not layout["sequences"]:
         return manifest.withColumn("ids_sha256", F.lit(""))
-    ids = training_order.read_slots(spark, folder, layout)
-    stored = ids.select("slot", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"))
+    stored = training_order.read_slots(spark, folder, layout, hashes=True).withColumnRenamed("sha256", "ids_sha256")
     return manifest.join(stored, "slot").select("doc_id", "seq", "n_tokens", "slot", "shard", "byte_offset", "ids_sha256")
 
 

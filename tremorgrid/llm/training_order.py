@@ -12,18 +12,20 @@ start or resume anywhere.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tremorgrid.llm.byte_bpe import _ranks, pretokens
+from tremorgrid.llm.byte_bpe import _ranks
 from tremorgrid.llm.tables import input_partitions
-from tremorgrid.llm.text import ragged, slices, texts_of
+from tremorgrid.llm.text import ragged, segments, slices, texts_of
 from tremorgrid.session import scratch_path, small_side
 
 ROUNDS = 6
+KNOWN_PIECES = 200_000  # pieces whose ids a task keeps at hand
 SEQUENCES = "part long, place long, doc_id long, seq int, n_tokens int, record binary"
 
 
@@ -71,16 +73,25 @@ def sequences(docs: DataFrame, ranks_path: str, pattern: str, length: int, end_i
         raise ValueError("ids are stored in 16 bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
         import tiktoken
         from pyspark import TaskContext
 
         pa.set_cpu_count(1)
-        part, place, cut = TaskContext.get().partitionId(), 0, regex.compile(pattern)
+        part, place = TaskContext.get().partitionId(), 0
+        known: dict[str, list[int]] = {}
         core = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=_ranks(ranks_path), special_tokens={})
         for batch in slices(batches, "text"):
-            words, positions, bounds = pretokens(texts_of(batch, "text"), cut)
-            found = [core.encode_ordinary(w) for w in words]
+            pieces, bounds = segments(texts_of(batch, "text"))
+            coded = pieces.dictionary_encode()
+            positions = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            found = []
+            for piece in coded.dictionary.to_pylist():
+                ids = known.get(piece)
+                if ids is None:
+                    if len(known) >= KNOWN_PIECES:
+                        known.clear()
+                    ids = known[piece] = core.encode_ordinary(piece)
+                found.append(ids)
             sizes = np.array([len(x) for x in found], dtype=np.int64)
             flat = np.fromiter((i for x in found for i in x), dtype=np.uint16)
             tokens = flat[ragged((np.cumsum(sizes) - sizes)[positions], sizes[positions])] if len(positions) else np.zeros(0, np.uint16)
@@ -137,8 +148,11 @@ def write_training_order(docs: DataFrame, ranks_path: str, pattern: str, end_id:
     return placed.select("doc_id", "seq", "n_tokens", "slot", "shard", "byte_offset"), folder, layout
 
 
-def read_slots(spark: SparkSession, folder: str, layout: dict, first: int = 0, last: int | None = None) -> DataFrame:
-    """(slot, ids) of the slots from ``first`` up to before ``last``; only the shards that hold them are opened."""
+def read_slots(spark: SparkSession, folder: str, layout: dict, first: int = 0, last: int | None = None, hashes: bool = False) -> DataFrame:
+    """(slot, ids), or with ``hashes`` (slot, sha256), of the slots from ``first`` up to before ``last``; only the shards that hold them are opened.
+
+    ``sha256`` is over the record's bytes.
+    """
     last = layout["sequences"] if last is None else last
     per, stride, length = layout["slots_per_shard"], layout["stride"], layout["length"]
     files = spark.read.format("binaryFile").load(folder)  # ``shard`` comes from the folder names
@@ -151,7 +165,9 @@ def read_slots(spark: SparkSession, folder: str, layout: dict, first: int = 0, l
                 slot = np.arange(len(raw)) + shard * per
                 inside = (slot >= first) & (slot < last)
                 ids = np.ascontiguousarray(raw[inside, :-1]).view("<u2").astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array((np.arange(len(ids) + 1) * length).astype(np.int32)), pa.array(ids.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(slot[inside]), lists], names=["slot", "ids"])
+                lists = None if hashes else pa.ListArray.from_arrays(pa.array((np.arange(len(ids) + 1) * length).astype(np.int32)), pa.array(ids.ravel()))
+                digests = [hashlib.sha256(r).hexdigest() for r in raw[inside, :-1]] if hashes else [None] * len(ids)
+                columns = [pa.array(slot[inside]), pa.array(digests, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns if hashes else [*columns[:1], lists], names=["slot", "sha256" if hashes else "ids"])
 
-    return files.mapInArrow(run, "slot long, ids array<int>")
+    return files.mapInArrow(run, "slot long, sha256 string" if hashes else "slot long, ids array<int>")
