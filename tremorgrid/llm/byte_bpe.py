@@ -111,7 +111,7 @@ def chunked(docs: DataFrame, pattern: str) -> DataFrame:
             ids = part.column("doc_id")
             blob = pack(small[rank[positions]].astype(np.int32), frequent.astype(np.int32), bounds.astype(np.int64),
                         pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
-                        part.column("text_key").to_numpy(zero_copy_only=False), hashes[order], lengths[order].astype(np.int32),
+                        part.column("text_key").to_numpy(zero_copy_only=False), lengths[order].astype(np.int32),
                         data[ragged(starts[order], lengths[order])])
             yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([blob], pa.binary())], names=["chunk", "payload"])
             chunk += 1
@@ -120,24 +120,25 @@ def chunked(docs: DataFrame, pattern: str) -> DataFrame:
     return rows.select("doc_id", "text", "text_key").mapInArrow(run, CHUNKS)
 
 
-PAYLOAD = [np.int32, np.int32, np.int64, np.int64, np.uint8, np.int64, np.uint64, np.int32, np.uint8]
+PAYLOAD = [np.int32, np.int32, np.int64, np.int64, np.uint8, np.int64, np.int32, np.uint8]
 
 
 def shares(chunks: DataFrame, n: int) -> DataFrame:
-    """(share, chunk, payload): a chunk's distinct pre-tokens with their hashes, split by hash into ``n`` shares."""
+    """(share, chunk, payload): a chunk's distinct pre-tokens, split by hash into ``n`` shares."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, payload in zip(batch.column("chunk").to_pylist(), batch.column("payload")):
-                *_, hashes, lengths, data = unpack(payload.as_py(), PAYLOAD)
+                *_, lengths, data = unpack(payload.as_py(), PAYLOAD)
                 edge = np.cumsum(lengths.astype(np.int64)) - lengths
+                hashes = xxh64(data, edge, lengths.astype(np.int64))  # cheaper to compute again than to ship
                 share = ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)  # hashes ascend, shares too
                 cuts = np.r_[0, np.flatnonzero(np.diff(share)) + 1, len(share)]
                 edge = np.append(edge, len(data))
                 for a, b in zip(cuts[:-1], cuts[1:]):
                     if b > a:
                         yield pa.RecordBatch.from_arrays([
-                            pa.array([share[a]]), pa.array([chunk]), pa.array([pack(hashes[a:b], lengths[a:b], data[edge[a] : edge[b]])], pa.binary())],
+                            pa.array([share[a]]), pa.array([chunk]), pa.array([pack(lengths[a:b], data[edge[a] : edge[b]])], pa.binary())],
                             names=["share", "chunk", "payload"])
 
     return chunks.mapInArrow(run, "share long, chunk long, payload binary")
@@ -154,7 +155,7 @@ def encoded_shares(parts: DataFrame, ranks_path: str, pattern: str) -> DataFrame
         ids: list[list[int]] = []
         chunks, out = [], []
         for chunk, payload in zip(group.column("chunk").to_pylist(), group.column("payload")):
-            _, lengths, data = unpack(payload.as_py(), [np.uint64, np.int32, np.uint8])
+            lengths, data = unpack(payload.as_py(), [np.int32, np.uint8])
             raw, ends = data.tobytes(), np.cumsum(lengths).tolist()
             own = []
             for a, b in zip([0, *ends], ends):
