@@ -148,6 +148,27 @@ def test_lm_step_follows_the_gradient():
 # --- 6: training order -------------------------------------------------------------------------------------------
 
 
+def test_lm_learns_from_the_third_word_before():
+    cfg = language_model.LMConfig()
+    rng = np.random.default_rng(4)
+    model = language_model.Softmaxes([np.zeros((cfg.class_rows, cfg.classes), np.float32), np.zeros((cfg.place_rows, cfg.slots), np.float32)], cfg)
+    texts = rng.integers(0, 30, (4000, 4))
+    texts[:, 3] = (7 * texts[:, 0] + 3) % 30  # told by the third word before alone
+    tokens, edges = texts.ravel(), np.arange(0, 16001, 4)
+    features = language_model._features(tokens, edges, cfg)
+    for _ in range(20):
+        model.step(features, tokens)
+    assert model.log_probability(features, tokens)[3::4].mean() > np.log(0.5)
+    one, other = (language_model._features(np.array([x, 2, 3, 4]), np.array([0, 4]), cfg) for x in (7, 8))
+    assert sum(f[3] != g[3] for f, g in zip(one, other)) == 2  # the three-word n-gram and the skip
+
+
+def test_lm_run_sums():
+    rng = np.random.default_rng(6)
+    values, at, heads = rng.normal(size=(50, 32)).astype(np.float32), rng.integers(0, 50, 300), np.array([0, 1, 2, 150, 151, 299])
+    np.testing.assert_allclose(language_model._run_sums(values, at, heads), np.add.reduceat(values[at], heads, axis=0), rtol=1e-4, atol=1e-4)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 16, 17, 1000, 4097])
 def test_permutation(n):
     for key in (1, 99):

@@ -198,20 +198,18 @@ def _chunk_tokens(payload: bytes, vocab: Vocabulary, cfg: LMConfig):
 
 
 def _features(tokens: np.ndarray, edges: np.ndarray, cfg: LMConfig) -> list[np.ndarray]:
-    """Hashed features of each token: the word before, the two before, and the second before alone (a skip).
-
-    Every token has all three, so none is needed for the bias.
-    """
+    """Hashed features of each token: bias, n-grams of the one, two and three words before, and the second and third before alone (skips)."""
     start = np.repeat(edges[:-1], np.diff(edges))
     inside = np.arange(len(tokens)) - start
     before = []
-    for k in (1, 2):
+    for k in (1, 2, 3):
         x = np.zeros(len(tokens), dtype=np.uint64)
         x[k:] = tokens[:-k].astype(np.uint64) + np.uint64(1)
         x[inside < k] = 0
         before.append(x)
     with np.errstate(over="ignore"):
-        kinds = [before[0], before[1] * np.uint64(1 << 20) + before[0], before[1]]
+        two = before[1] * np.uint64(1 << 20) + before[0]
+        kinds = [np.zeros(len(tokens), np.uint64), before[0], two, before[2] * np.uint64(1 << 40) + two, before[1], before[2]]
         return [_scramble(x * np.uint64(8) + np.uint64(k)) for k, x in enumerate(kinds)]
 
 
@@ -222,6 +220,18 @@ def _scramble(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
+def _run_sums(values: np.ndarray, at: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Sums of ``values[at]`` over the runs that begin at ``heads``; most runs have one row and are only copied."""
+    sizes = np.diff(np.append(heads, len(at)))
+    out = values[at[heads]]
+    many = sizes > 1
+    if many.any():
+        ends = np.cumsum(sizes[many])
+        # two numbers at a time: reduceat pays for each run and column
+        out[many] = np.add.reduceat(values[at[np.repeat(many, sizes)]].view(np.complex64), ends - sizes[many], axis=0).view(np.float32)
+    return out
+
+
 class Softmaxes:
     """Two tables of feature rows; ``step`` makes one update, ``log_probability`` scores."""
 
@@ -270,7 +280,7 @@ class Softmaxes:
             order = np.argsort(flat, kind="stable")
             ranked = flat[order]
             heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-            gradient = np.add.reduceat(error[order // rows.shape[1]], heads, axis=0)
+            gradient = _run_sums(error, order // rows.shape[1], heads)
             touched = ranked[heads].astype(np.int64)
             seen[touched] += np.square(gradient).mean(axis=1)
             table[touched] -= (self.cfg.rate / np.sqrt(seen[touched]))[:, None] * gradient
