@@ -257,6 +257,26 @@ def test_patterns_find_unseen_identifiers(spark):
     assert not got[202] and not any(got[i] for i, _ in seeds)
 
 
+def test_patterns_see_words_beside_other_numbers(spark):
+    seeds = [(i, f"user {i} phone +1 555 010 {i}77 {'abcdefghijkl'[i % 12]}") for i in range(10, 40)]
+    long, far = "x7" * 40, "555-0100-" + "8" * 3
+    unseen = [(200, "user 12 phone 555-0100-77 7"), (201, f"user 12 phone {long}"), (202, f"{'w' * 3000} 55 phone {far}")]
+    rows = spark.createDataFrame([*seeds, *unseen], "doc_id long, text string")
+    got = {r.doc_id: [s for s in r.spans if not s.base] for r in pii.personal_data(rows).collect()}
+    texts = dict(unseen)
+    assert [[texts[i][s.start : s.end] for s in got[i]] for i in texts] == [["555-0100-77"], [long], [far]]
+    assert all(s.kind == "phone" for i in texts for s in got[i]) and not any(got[i] for i, _ in seeds)
+
+
+def test_bootstrap_runs_until_nothing_is_added(spark):
+    names = ["alpha", "bravo", "carol", "delta", "eagle", "frost"]
+    rows = [f"alpha holds a{'bcdefghijklmnopqrstuvwxyz'[i]}@mail.example.com" for i in range(25)]
+    rows += [f"{names[level + k]} holds {names[level]}-{i}zz9" for level in range(5) for k in (0, 1) for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: [s.kind for s in r.spans if not s.base] for r in pii.personal_data(docs, pii.Bootstrap(unknown=0.1)).collect()}
+    assert all(got[i] == ["email"] for i in range(25, len(rows)))
+
+
 def test_masked_texts(spark):
     docs = cases.rows(spark).union(spark.createDataFrame([(1000 + i, t, *[None] * 10) for i, t in enumerate(ODD)], cases.SCHEMA))
     got = pii.masked(docs)

@@ -35,21 +35,33 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 
 @dataclass(frozen=True)
 class Bootstrap:
-    turns: int = 3
     support: int = 4  # distinct known instances that a pattern needs
     unknown: float = 0.5  # how much an instance of no known kind counts against a pattern
     pattern_score: float = 0.7
     instance_score: float = 0.7
-    longest: int = 64  # characters of a candidate
-    shortest: int = 5
+    shortest: int = 5  # characters of a candidate: accepted ones are found wherever they stand
 
 
 def _entries(kind: str, pattern: str) -> Column:
-    """The matches of one kind with the text between them cut down to what is needed."""
+    """The matches of one kind with the lengths of the texts before them."""
     m, g = f"`m_{kind}`", f"`g_{kind}`"
     return F.expr(
-        f"transform({m}, (x, i) -> struct('{kind}' as kind, i as i, x as found, char_length({g}[i]) as gap, "
-        f"right({g}[i], 80) as before, left({g}[i + 1], 40) as behind))")
+        f"transform({m}, (x, i) -> struct('{kind}' as kind, i as i, x as found, char_length({g}[i]) as gap, cast(null as string) as whole))")
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, "\\s+"), lambda w: w != "")
+
+
+def _near(text: Column, start: Column, end: Column) -> tuple[Column, Column]:
+    """Text on both sides of a span with whole words: two before it and one behind it, as far as the text has them."""
+    before, behind = F.substring(text, F.lit(1), start.cast("int")), F.substring(text, (end + 1).cast("int"), F.char_length(text))
+    for width in (2000, 80):  # a longer stretch only where words are that long
+        left = F.substring(text, (F.greatest(start - width, F.lit(0)) + 1).cast("int"), F.least(start, F.lit(width)).cast("int"))
+        right = F.substring(text, (end + 1).cast("int"), F.lit(width))
+        before = F.when((start <= width) | (F.size(_words(left)) >= 3), left).otherwise(before)
+        behind = F.when((F.char_length(right) < width) | (F.size(_words(right)) >= 2), right).otherwise(behind)
+    return before, behind
 
 
 def _luhn(digits: Column) -> Column:
@@ -73,8 +85,11 @@ def matches(docs: DataFrame, options: Bootstrap = Bootstrap()) -> DataFrame:
         worth = F.col("text").contains(NEEDS[kind]) if kind in NEEDS else F.col("text").rlike("[0-9@]")
         found = found.withColumn(f"m_{kind}", F.when(worth, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(nothing))
         found = found.withColumn(f"g_{kind}", F.when(F.size(f"m_{kind}") > 0, F.split("text", pattern, -1)).otherwise(nothing))
-    every = F.flatten(F.array(*[_entries(k, p) for k, p in [*PATTERNS.items(), ("candidate", CANDIDATE)]]))
-    rows = found.select("rid", "doc_id", "text_key", F.explode_outer(every).alias("e")).select("rid", "doc_id", "text_key", "e.*").repartition("rid")
+    entries = F.flatten(F.array(*[_entries(k, p) for k, p in [*PATTERNS.items(), ("candidate", CANDIDATE)]]))
+    # the text travels once, in an entry of its own
+    carrier = F.expr("array(struct(cast(null as string) as kind, 0 as i, cast(null as string) as found, 0 as gap, if(size(entries) > 0, text, null) as whole))")
+    every = found.withColumn("entries", entries).select("rid", "doc_id", "text_key", F.concat(carrier, "entries").alias("entries"))
+    rows = every.select("rid", "doc_id", "text_key", F.explode("entries").alias("e")).select("rid", "doc_id", "text_key", "e.*").repartition("rid")
     along = Window.partitionBy("rid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     size = F.char_length("found")
     rows = rows.withColumn("end", (F.sum("gap").over(along) + F.sum(size).over(along)).cast("long")).withColumn("start", F.col("end") - size)
@@ -85,7 +100,7 @@ def matches(docs: DataFrame, options: Bootstrap = Bootstrap()) -> DataFrame:
         .when(F.col("kind") == "ip", F.forall(parts, lambda p: F.when(F.length(p) > 3, False).when(p == "", True).otherwise(p.cast("int") <= 255)))
         .when(F.col("kind") == "card", F.when((F.length(digits) >= 14) & (F.length(digits) <= 19), _luhn(digits)).otherwise(False))
         .when(F.col("kind") == "phone", (F.length(digits) >= 10) & (F.length(digits) <= 15))
-        .when(F.col("kind") == "candidate", (size >= options.shortest) & (size <= options.longest)))
+        .when(F.col("kind") == "candidate", size >= options.shortest))
     rows = rows.withColumn("ok", valid)
     # candidates lose the signs around them
     lead = F.length(F.regexp_extract("found", "^[^\\p{L}0-9+(]*+", 0))
@@ -101,7 +116,9 @@ def matches(docs: DataFrame, options: Bootstrap = Bootstrap()) -> DataFrame:
     clear = (F.coalesce(reach, F.lit(0)) <= F.col("start")) & (F.coalesce(ahead, F.col("end")) >= F.col("end"))
     rows = rows.withColumn("clear", clear)
     ok = F.col("ok") & ((F.col("kind") != "candidate") | (F.col("clear") & (F.char_length("found") >= options.shortest)))
-    return rows.select("rid", "doc_id", "text_key", "kind", "start", "end", "found", "before", "behind", F.coalesce(ok, F.lit(False)).alias("ok"))
+    rows = rows.withColumn("ok", F.coalesce(ok, F.lit(False))).withColumn("whole", F.max("whole").over(Window.partitionBy("rid")))
+    before, behind = _near(F.col("whole"), F.col("start"), F.col("end"))
+    return rows.select("rid", "doc_id", "text_key", "kind", "start", "end", "found", F.when(F.col("ok"), before).alias("before"), F.when(F.col("ok"), behind).alias("behind"), "ok")
 
 
 def edges(rows: DataFrame) -> DataFrame:
@@ -110,7 +127,7 @@ def edges(rows: DataFrame) -> DataFrame:
     Patterns: the two words before, and one word before with one behind.
     """
     def plain(side: str) -> Column:
-        return F.filter(F.split(F.regexp_replace(F.lower(side), "[0-9]", "0"), "\\s+"), lambda w: w != "")
+        return _words(F.regexp_replace(F.lower(side), "[0-9]", "0"))
 
     left, right = plain("before"), plain("behind")
     near = rows.where("ok").select(
@@ -125,15 +142,16 @@ def bootstrapped(graph: DataFrame, options: Bootstrap = Bootstrap()) -> DataFram
     """(instance, kind, score) of the candidates that are accepted.
 
     A turn scores patterns of each kind from the instances known so far, then
-    instances from their patterns (1 - product of (1 - score)).
+    instances from their patterns (1 - product of (1 - score)). Ends with a turn
+    that finds no instance that was not found before.
     """
     graph = materialize(graph, "pii_graph")
     sizes = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count("kind").alias("seeds"))
     # a pattern without any seed can still be reached through instances found in an earlier turn
     known = graph.where("kind is not null").select("pattern", "instance", "kind", F.lit(1.0).alias("score"))
     open_edges = graph.where("kind is null").select("pattern", "instance")
-    found = None
-    for _ in range(options.turns):
+    found = seen = None
+    while True:
         voices = known if found is None else known.unionByName(open_edges.join(found, "instance").select("pattern", "instance", "kind", "score"))
         votes = voices.groupBy("pattern", "kind").agg(F.sum("score").alias("pos"), F.count(F.lit(1)).alias("n_pos"))
         total = votes.groupBy("pattern").agg(F.sum("n_pos").alias("n_known"))
@@ -145,7 +163,10 @@ def bootstrapped(graph: DataFrame, options: Bootstrap = Bootstrap()) -> DataFram
         best = by_kind.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("b"), F.count(F.lit(1)).alias("kinds"))
         # an instance that patterns of two kinds claim is left alone
         found = materialize(best.where((F.col("kinds") == 1) & (F.col("b.score") >= options.instance_score)).select("instance", F.col("b.kind").alias("kind"), F.col("b.score").alias("score")), "pii_found")
-    return found
+        new = found if seen is None else found.join(seen, "instance", "left_anti")
+        if new.isEmpty():
+            return found
+        seen = found.select("instance") if seen is None else materialize(seen.unionByName(new.select("instance")), "pii_seen")
 
 
 def personal_data(docs: DataFrame, options: Bootstrap = Bootstrap(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
