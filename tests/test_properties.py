@@ -202,3 +202,13 @@ def test_cutoffs_are_reproducible_and_checked(matrix):
     assert backtest.cutoff_list(matrix, cfg) == backtest.cutoff_list(matrix.repartition(7), cfg)
     with pytest.raises(ValueError, match="enough history"):
         backtest.cutoff_list(matrix, CFG)
+
+
+def test_evaluation_uses_the_purged_test_split(spark):
+    import __spark_entry__  # noqa: F401
+    from workload import models
+
+    test = models.trained(spark, "/root/testdata/sf0.001")[2]
+    got = models.test_evaluation(spark, "/root/testdata/sf0.001").collect()
+    want = {r.horizon_day: r["count"] for r in test.groupBy("horizon_day").count().collect()}
+    assert len(got) == 3 and all({h.horizon_day: h.n for h in r.by_horizon} == want for r in got)
