@@ -245,6 +245,11 @@ def test_repeat_lengths(seed):
     assert short.tolist() == [min(x, 8) for x in want]
 
 
+def test_repeats_longer_than_1024_words_have_their_length():
+    codes = np.tile(np.arange(1500), 2)
+    assert repetition.repeat_lengths(codes, np.array([0, 3000])).max() == 1500
+
+
 def test_quality_rules_method_verdict(spark):
     rng = random.Random(5)
     fresh = lambda n: " ".join(f"{rng.getrandbits(40):x}" for _ in range(n))

@@ -29,14 +29,14 @@ class RepetitionRules:
     span_words: int = 10  # shortest repeat that counts as covered
     max_covered: float = 0.15
     max_longest: int = 100
-    depth: int = 1024  # repeats are told apart up to so many words
+    depth: int | None = None  # repeats are told apart up to so many words (none: as long as they are)
 
 
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           "covered_words long, longest_repeat long, base_failed boolean, kept boolean")
 
 
-def repeat_lengths(codes: np.ndarray, bounds: np.ndarray, depth: int = 1024) -> np.ndarray:
+def repeat_lengths(codes: np.ndarray, bounds: np.ndarray, depth: int | None = None) -> np.ndarray:
     """For every word, how many words from it on also occur elsewhere in the same text (up to ``depth``).
 
     ``codes``: integers for words; ``bounds``: offsets of the texts.
@@ -57,7 +57,7 @@ def repeat_lengths(codes: np.ndarray, bounds: np.ndarray, depth: int = 1024) ->
     active, done = order[shared], 1  # suffixes whose first ``done`` words occur twice or more, in suffix order
     lengths[active] = done
     levels = [(1, *_sorted_pairs(active, rank[active]))]
-    while len(active) and done < depth:
+    while len(active) and (depth is None or done < depth):
         ahead = active + done
         second = np.where(ahead < ends[active], rank[np.minimum(ahead, n - 1)], -1)
         group = rank[active]
