@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tremorgrid.llm import byte_bpe, decontamination, language, language_model, pii, quality_model, repetition, simhash, token_counts, training_order
+from tremorgrid.llm import byte_bpe, decontamination, language, language_model, licenses, pii, quality_model, repetition, simhash, token_counts, training_order
 from tremorgrid.llm.tables import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,16 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", remainder(F.col("doc_id"), 4) == 2).select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_scan(table(spark, sf_dir, "documents"))
+    named = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min("places.start").alias("first_word"),
+        F.array_max("places.start").alias("last_word"), named(F.col("places.label")).alias("base_labels"),
+        named(F.concat("places.label", "spans.label")).alias("labels"), "score")
+
+
 ORACLES["op8_decontamination"] = r"""
 with d as (
   select row_number() over () as rid, doc_id,
@@ -122,3 +132,49 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(h.n_hit, 0)
        cast(coalesce(n.n_items, 0) as bigint) as n_items, sha256(coalesce(n.ids, '')) as items_sha256, coalesce(h.n_hit, 0) > 0 as contaminated
 from d left join hits h on h.rid = d.rid left join named n on n.rid = d.rid
 """
+
+_TEMPLATES = ", ".join(
+    f"({n}, '{label}', {is_base}, '{text}')" for n, (text, label, is_base) in
+    enumerate([(*x, "true") for x in licenses.BASE] + [(*x, "false") for x in licenses.NOTICES]))
+_WORDS = r"""list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), x -> x <> '')"""
+ORACLES["op11_license_scan"] = f"""
+with d as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
+t as (select template, label, is_base, {_WORDS} as w from (values {_TEMPLATES}) v(template, label, is_base, text)),
+tg as (
+  select template, label, is_base, len(w) as size, not is_base and len(w) >= 16 as wide, i - 1 as at, array_to_string(w[i : i + 2], ' ') as gram
+  from (select *, unnest(generate_series(1, len(w) - 2)) as i from t)),
+dg as (
+  select rid, i - 1 as place, array_to_string(w[i : i + 2], ' ') as gram
+  from (select rid, w, unnest(generate_series(1, len(w) - 2)) as i from d where len(w) >= 3)),
+hits as (select rid, template, label, is_base, size, wide, at, place, place - at as diagonal from dg join tg using (gram)),
+votes as (select rid, template, label, is_base, size, wide, diagonal, count(*) as votes from hits group by all),
+near as (
+  select v.rid, v.template, v.diagonal, h.at, h.place
+  from votes v join hits h on h.rid = v.rid and h.template = v.template and abs(h.diagonal - v.diagonal) <= case when v.wide then 6 else 0 end),
+extent as (
+  select rid, template, diagonal, min(place) as first, max(place) + 3 as past,
+         count(distinct at_word) as covered, count(distinct word) as met
+  from (select *, at + unnest([0, 1, 2]) as at_word, place + unnest([0, 1, 2]) as word from near) group by all),
+ranked as (
+  select v.*, e.first, e.past, e.covered, e.met,
+         row_number() over (partition by v.rid, v.template order by e.covered desc, v.votes desc, v.diagonal) as r
+  from votes v join extent e using (rid, template, diagonal)),
+best as (
+  select a.* from ranked a
+  where not a.wide or not exists (
+    select 1 from ranked b where b.rid = a.rid and b.template = a.template and abs(b.diagonal - a.diagonal) <= 6 and b.r < a.r)),
+spans as (
+  select rid, label, is_base, first, covered / size::double as cover, met / (past - first)::double as dense,
+         case when wide then covered / size::double >= 0.8 and met / (past - first)::double >= 0.7 else covered = size end as holds
+  from best),
+of_row as (
+  select rid, count(*) filter (holds and is_base) as n_base, min(first) filter (holds and is_base) as first_word,
+         max(first) filter (holds and is_base) as last_word,
+         string_agg(distinct label, ',' order by label) filter (holds and is_base) as base_labels,
+         string_agg(distinct label, ',' order by label) filter (holds) as labels, max(cover * dense) as score
+  from spans group by rid)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_base, 0) as bigint) as n_base, cast(first_word as bigint) as first_word,
+       cast(last_word as bigint) as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0) as score
+from d left join of_row o on o.rid = d.rid
+"""
