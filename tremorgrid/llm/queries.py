@@ -108,13 +108,13 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op8_decontamination"] = r"""
 with d as (
   select row_number() over () as rid, doc_id,
-         list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), x -> x <> '') as w
+         [x for x in regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') if x <> ''] as w
   from documents),
 b as (
   select item_id,
-         list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), x -> x <> '') as w
+         [x for x in regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') if x <> ''] as w
   from benchmark),
 items as (
   select distinct item_id, least(10, len(w)) as size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as win
@@ -136,26 +136,26 @@ from d left join hits h on h.rid = d.rid left join named n on n.rid = d.rid
 _TEMPLATES = ", ".join(
     f"({n}, '{label}', {is_base}, '{text}')" for n, (text, label, is_base) in
     enumerate([(*x, "true") for x in licenses.BASE] + [(*x, "false") for x in licenses.NOTICES]))
-_WORDS = r"""list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), x -> x <> '')"""
+_WORDS = r"""[x for x in regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') if x <> '']"""
 ORACLES["op11_license_scan"] = f"""
 with d as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
 t as (select template, label, is_base, {_WORDS} as w from (values {_TEMPLATES}) v(template, label, is_base, text)),
 tg as (
-  select template, label, is_base, len(w) as size, not is_base and len(w) >= 16 as wide, i - 1 as at, array_to_string(w[i : i + 2], ' ') as gram
+  select template, label, is_base, len(w) as size, not is_base and len(w) >= 16 as wide, i - 1 as t_at, array_to_string(w[i : i + 2], ' ') as gram
   from (select *, unnest(generate_series(1, len(w) - 2)) as i from t)),
 dg as (
   select rid, i - 1 as place, array_to_string(w[i : i + 2], ' ') as gram
   from (select rid, w, unnest(generate_series(1, len(w) - 2)) as i from d where len(w) >= 3)),
-hits as (select rid, template, label, is_base, size, wide, at, place, place - at as diagonal from dg join tg using (gram)),
+hits as (select rid, template, label, is_base, size, wide, t_at, place, place - t_at as diagonal from dg join tg using (gram)),
 votes as (select rid, template, label, is_base, size, wide, diagonal, count(*) as votes from hits group by all),
 near as (
-  select v.rid, v.template, v.diagonal, h.at, h.place
+  select v.rid, v.template, v.diagonal, h.t_at, h.place
   from votes v join hits h on h.rid = v.rid and h.template = v.template and abs(h.diagonal - v.diagonal) <= case when v.wide then 6 else 0 end),
 extent as (
   select rid, template, diagonal, min(place) as first, max(place) + 3 as past,
          count(distinct at_word) as covered, count(distinct word) as met
-  from (select *, at + unnest([0, 1, 2]) as at_word, place + unnest([0, 1, 2]) as word from near) group by all),
+  from (select *, t_at + unnest([0, 1, 2]) as at_word, place + unnest([0, 1, 2]) as word from near) group by all),
 ranked as (
   select v.*, e.first, e.past, e.covered, e.met,
          row_number() over (partition by v.rid, v.template order by e.covered desc, v.votes desc, v.diagonal) as r
