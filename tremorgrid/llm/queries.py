@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tremorgrid.llm import byte_bpe, decontamination, language, language_model, licenses, pii, quality_model, repetition, simhash, token_counts, training_order
+from tremorgrid.llm import byte_bpe, collocations, decontamination, language, language_model, licenses, pii, quality_model, repetition, simhash, token_counts, training_order
 from tremorgrid.llm.tables import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,11 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         named(F.concat("places.label", "spans.label")).alias("labels"), "score")
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 ORACLES["op8_decontamination"] = r"""
 with d as (
   select row_number() over () as rid, doc_id,
@@ -178,3 +183,29 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_base, 0) a
        cast(last_word as bigint) as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0) as score
 from d left join of_row o on o.rid = d.rid
 """
+
+ORACLES["op12_collocations"] = r"""
+with pieces as (
+  select lang, row_number() over () as pid, [x for x in regexp_split_to_array(piece, '[ \t]+') if x <> ''] as w
+  from (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents)),
+totals as (select lang, sum(len(w)) as n from pieces group by lang),
+grams as (
+  select lang, size, array_to_string(w[i : i + size - 1], ' ') as phrase, w[i : i + size - 1] as words, count(*) as f
+  from (select *, unnest(generate_series(1, len(w) - size + 1)) as i from pieces, (values (1), (2), (3)) s(size) where len(w) >= size)
+  group by all),
+candidates as (select * from grams where size > 1 and f >= 10),
+cuts as (
+  select c.lang, c.size, c.phrase, c.words, c.f as a, a.f as l, b.f as r, k,
+         (1000000::hugeint * c.f * c.f) // (a.f::hugeint * b.f) as score
+  from (select *, unnest(generate_series(1, size - 1)) as k from candidates) c
+  join grams a on a.lang = c.lang and a.words = c.words[1 : k] join grams b on b.lang = c.lang and b.words = c.words[k + 1 : c.size]),
+lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+kept as (
+  select * from lowest x where not exists (
+    select 1 from candidates y where y.lang = x.lang and y.size > x.size and 100 * y.f >= 50 * x.a
+      and (y.words[1 : x.size] = x.words or y.words[2 : x.size + 1] = x.words)))
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, cast(n as bigint) as n, cast(score as bigint) as score
+from (select k.*, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept k) join totals using (lang)
+where rank <= 2000
+"""
