@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tremorgrid.llm import byte_bpe, collocations, decontamination, language, language_model, licenses, pii, quality_model, repetition, simhash, token_counts, training_order
+from tremorgrid.llm import byte_bpe, collocations, decontamination, language, language_model, licenses, pii, quality_model, repetition, simhash, token_counts, training_order, whitening
 from tremorgrid.llm.tables import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=16)
+
+
 ORACLES["op8_decontamination"] = r"""
 with d as (
   select row_number() over () as rid, doc_id,
