@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -286,6 +287,43 @@ def test_masked_texts(spark):
     assert sorted((r.text or "" for r in got.collect())) == sorted(mask(r.text, spans[(r.doc_id, r.k)]) or "" for r in keys)
 
 
+def test_masked_keeps_columns_of_any_name(spark):
+    names = ["_text_key", "masked_key", "masked_spans", "masked_of", "masked_id", "masked_blocks", "spans", "start"]
+    docs = spark.createDataFrame([(1, "to a@b.cd", *names), (None, None, *names)], f"doc_id long, text string, {', '.join(f'{n} string' for n in names)}")
+    got = {r.doc_id: r for r in pii.masked(docs).collect()}
+    assert got[1].text == "to [EMAIL]" and got[None].text is None
+    assert all(tuple(r)[2:] == tuple(names) for r in got.values())
+
+
+def test_masked_pieces_beyond_one_block(spark):
+    text = ("é🙂" * 3000 + " a@b.cd ") * 3 + "x" * pii.BLOCK + " 10.0.0.1"
+    docs = spark.createDataFrame([(1, text), (2, "a@b.cd"), (3, "y" * (2 * pii.BLOCK) + " a@b.cd")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.masked(docs).collect()}
+    assert got == {1: text.replace("a@b.cd", "[EMAIL]").replace("10.0.0.1", "[IP]"), 2: "[EMAIL]", 3: "y" * (2 * pii.BLOCK) + " [EMAIL]"}
+
+
+def test_time_is_linear_in_the_matches_of_a_text(spark):
+    def seconds(n):
+        text = " ".join(f"mail a{i}@b.com" if i % 9 == 0 else f"id{i}" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.time()
+        assert pii.matches(docs).where("kind = 'candidate'").count() >= n
+        return time.time() - start
+
+    seconds(1000)
+    few, many = min(seconds(16_000) for _ in range(2)), seconds(128_000)
+    assert many < 16 * few + 4, (few, many)
+
+
+def test_no_text_is_split_for_each_match(spark):
+    plan = pii.matches(cases.sample(spark))._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if line.lstrip(" +-:").startswith("Generate"):
+            assert line.count("lambdafunction") <= 5, "one plain renaming for each kind"
+    bodies = re.findall(r"lambdafunction\((.*?), lambda", plan)
+    assert bodies and not any("split(" in b or "regexp_extract_all(" in b for b in bodies)
+
+
 def mask(text, spans):
     if text is None:
         return None

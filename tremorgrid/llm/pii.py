@@ -43,27 +43,17 @@ class Bootstrap:
 
 
 def _entries(kind: str, pattern: str) -> Column:
-    """The matches of one kind with the lengths of the texts before them."""
-    m, g = f"`m_{kind}`", f"`g_{kind}`"
-    return F.expr(
-        f"transform({m}, (x, i) -> struct('{kind}' as kind, i as i, x as found, char_length({g}[i]) as gap, cast(null as string) as whole))")
+    """The matches of one kind with the texts before them, and one entry more for what stands behind the last."""
+    worth = F.col("text").contains(NEEDS[kind]) if kind in NEEDS else F.col("text").rlike("[0-9@]")
+    both = F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("m"), F.split("text", pattern, -1).alias("g"))
+    entry = F.transform(both, lambda e, i: F.struct(F.lit(kind).alias("kind"), i.alias("i"), e["m"].alias("found"), e["g"].alias("gap")))
+    return F.when(worth, entry).otherwise(F.array().cast("array<struct<kind:string,i:int,found:string,gap:string>>"))
 
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, "\\s+"), lambda w: w != "")
 
 
-def _near(text: Column, start: Column, end: Column) -> tuple[Column, Column]:
-    """Text on both sides of a span with whole words: two before it and one behind it, as far as the text has them."""
-    before, behind = F.substring(text, F.lit(1), start.cast("int")), F.substring(text, (end + 1).cast("int"), F.char_length(text))
-    for width in (2000, 80):  # a longer stretch only where words are that long
-        left = F.substring(text, (F.greatest(start - width, F.lit(0)) + 1).cast("int"), F.least(start, F.lit(width)).cast("int"))
-        right = F.substring(text, (end + 1).cast("int"), F.lit(width))
-        before = F.when((start <= width) | (F.size(_words(left)) >= 3), left).otherwise(before)
-        behind = F.when((F.char_length(right) < width) | (F.size(_words(right)) >= 2), right).otherwise(behind)
-    return before, behind
-
-
 def _luhn(digits: Column) -> Column:
     """Whether the digits pass the check: from the right, every second one doubled, its digits added."""
     reverse = F.split(F.reverse(digits), "")
@@ -77,22 +67,28 @@ def matches(docs: DataFrame, options: Bootstrap = Bootstrap()) -> DataFrame:
 
     Every input row has a row at least (kind null where nothing matched).
     ``ok``: a valid base span, or a candidate that touches no base span.
+    ``before`` and ``behind`` hold the last two words before the span and the
+    first one behind it. They come from the stretches between matches of the
+    span's kind and the two matches on either side, so each stretch is read a
+    fixed number of times; a word made of more matches than that, without white
+    space, is seen from the second one on.
     """
-    found = docs.select("doc_id", "text").withColumn("text", F.coalesce("text", F.lit(""))).withColumn("text_key", text_key(F.col("text")))
-    found = found.withColumn("rid", F.monotonically_increasing_id())
-    nothing = F.array().cast("array<string>")
-    for kind, pattern in [*PATTERNS.items(), ("candidate", CANDIDATE)]:
-        worth = F.col("text").contains(NEEDS[kind]) if kind in NEEDS else F.col("text").rlike("[0-9@]")
-        found = found.withColumn(f"m_{kind}", F.when(worth, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(nothing))
-        found = found.withColumn(f"g_{kind}", F.when(F.size(f"m_{kind}") > 0, F.split("text", pattern, -1)).otherwise(nothing))
+    found = documents(docs.select("doc_id", "text")).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("rid", F.monotonically_increasing_id()).withColumn("text_key", text_key(F.col("text")))
     entries = F.flatten(F.array(*[_entries(k, p) for k, p in [*PATTERNS.items(), ("candidate", CANDIDATE)]]))
-    # the text travels once, in an entry of its own
-    carrier = F.expr("array(struct(cast(null as string) as kind, 0 as i, cast(null as string) as found, 0 as gap, if(size(entries) > 0, text, null) as whole))")
-    every = found.withColumn("entries", entries).select("rid", "doc_id", "text_key", F.concat(carrier, "entries").alias("entries"))
-    rows = every.select("rid", "doc_id", "text_key", F.explode("entries").alias("e")).select("rid", "doc_id", "text_key", "e.*").repartition("rid")
-    along = Window.partitionBy("rid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    every = found.select("rid", "doc_id", "text_key", F.explode_outer(entries).alias("e")).select("rid", "doc_id", "text_key", "e.*")
+    rows = every.withColumn("words", _words(F.col("gap"))).withColumn("n", F.size("words"))
+    spaced = lambda side: F.when(F.col("gap").rlike(side), " ").otherwise("")
+    rows = rows.withColumn("tail", F.when(F.col("n") > 2, F.concat(F.lit(" "), F.array_join(F.slice("words", -2, 2), " "), spaced("\\s$"))).otherwise(F.col("gap")))
+    rows = rows.withColumn("head", F.when(F.col("n") > 1, F.concat(spaced("^\\s"), F.get("words", F.lit(0)), F.lit(" "))).otherwise(F.col("gap")))
+    rows = rows.withColumn("gap", F.char_length("gap")).drop("words", "n").repartition("rid")
+    along = Window.partitionBy("rid", "kind").orderBy("i")
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
     size = F.char_length("found")
-    rows = rows.withColumn("end", (F.sum("gap").over(along) + F.sum(size).over(along)).cast("long")).withColumn("start", F.col("end") - size)
+    near = lambda c, by: F.coalesce(F.lag(c, by).over(along) if by > 0 else F.lead(c, -by).over(along) if by else F.col(c), F.lit(""))
+    rows = rows.withColumn("end", (F.sum("gap").over(upto) + F.sum(size).over(upto)).cast("long"))
+    rows = rows.withColumn("before", F.concat(near("found", 2), near("tail", 1), near("found", 1), near("tail", 0)))
+    rows = rows.withColumn("behind", F.concat(near("head", -1), near("found", -1), near("head", -2)))
+    rows = rows.where("found is not null or i = 0 or i is null").withColumn("start", F.col("end") - size)
     digits = F.regexp_replace("found", "[^0-9]", "")
     parts = F.transform(F.split("found", "\\."), lambda p: F.ltrim(p, F.lit("0")))
     valid = (
@@ -101,13 +97,17 @@ def matches(docs: DataFrame, options: Bootstrap = Bootstrap()) -> DataFrame:
         .when(F.col("kind") == "card", F.when((F.length(digits) >= 14) & (F.length(digits) <= 19), _luhn(digits)).otherwise(False))
         .when(F.col("kind") == "phone", (F.length(digits) >= 10) & (F.length(digits) <= 15))
         .when(F.col("kind") == "candidate", size >= options.shortest))
-    rows = rows.withColumn("ok", valid)
+    rows = rows.withColumn("ok", F.col("found").isNotNull() & valid)
     # candidates lose the signs around them
-    lead = F.length(F.regexp_extract("found", "^[^\\p{L}0-9+(]*+", 0))
-    core = F.regexp_replace(F.expr("substring(found, lead + 1)"), "[^\\p{L}0-9]+$", "")
     short = (F.col("kind") == "candidate") & F.col("ok")
-    rows = rows.withColumn("lead", F.when(short, lead).otherwise(0)).withColumn("found", F.when(short, core).when(F.col("ok"), F.col("found")))
-    rows = rows.withColumn("start", F.col("start") + F.col("lead")).withColumn("end", F.when(short, F.col("start") + F.char_length("found")).otherwise(F.col("end")))
+    lead = F.regexp_extract("found", "^[^\\p{L}0-9+(]*+", 0)
+    rows = rows.withColumn("lead", F.when(short, lead).otherwise("")).withColumn("rest", F.expr("substring(found, char_length(lead) + 1)"))
+    core = F.regexp_replace("rest", "[^\\p{L}0-9]++$", "")
+    rows = rows.withColumn("core", F.when(short, core).when(F.col("ok"), F.col("found")))
+    rows = rows.withColumn("before", F.concat("before", "lead")).withColumn(
+        "behind", F.when(short, F.concat(F.expr("substring(rest, char_length(core) + 1)"), "behind")).otherwise(F.col("behind")))
+    rows = rows.withColumn("start", F.col("start") + F.char_length("lead")).withColumn("found", F.col("core"))
+    rows = rows.withColumn("end", F.when(short, F.col("start") + F.char_length("found")).otherwise(F.col("end")))
     base = F.col("ok") & (F.col("kind") != "candidate")
     order = Window.partitionBy("rid").orderBy("start")
     reach = F.max(F.when(base, F.col("end"))).over(order.rangeBetween(Window.unboundedPreceding, 0))
@@ -116,9 +116,9 @@ def matches(docs: DataFrame, options: Bootstrap = Bootstrap()) -> DataFrame:
     clear = (F.coalesce(reach, F.lit(0)) <= F.col("start")) & (F.coalesce(ahead, F.col("end")) >= F.col("end"))
     rows = rows.withColumn("clear", clear)
     ok = F.col("ok") & ((F.col("kind") != "candidate") | (F.col("clear") & (F.char_length("found") >= options.shortest)))
-    rows = rows.withColumn("ok", F.coalesce(ok, F.lit(False))).withColumn("whole", F.max("whole").over(Window.partitionBy("rid")))
-    before, behind = _near(F.col("whole"), F.col("start"), F.col("end"))
-    return rows.select("rid", "doc_id", "text_key", "kind", "start", "end", "found", F.when(F.col("ok"), before).alias("before"), F.when(F.col("ok"), behind).alias("behind"), "ok")
+    rows = rows.withColumn("ok", F.coalesce(ok, F.lit(False)))
+    sides = [F.when(F.col("ok"), F.col(c)).alias(c) for c in ("before", "behind")]
+    return rows.select("rid", "doc_id", "text_key", "kind", "start", "end", "found", *sides, "ok")
 
 
 def edges(rows: DataFrame) -> DataFrame:
@@ -187,23 +187,52 @@ def personal_data(docs: DataFrame, options: Bootstrap = Bootstrap(), id_col: str
     return every.groupBy("rid", "doc_id", "text_key").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
+BLOCK = 4096  # characters; a piece of a text is put together from blocks instead of being sought from its start
+
+
+def _free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def _piece(blocks: str, start: str, end: str) -> str:
+    """SQL for characters ``start`` up to before ``end`` of the text that ``blocks`` make up."""
+    first, last = f"cast(({start}) div {BLOCK} as int)", f"cast((({end}) - 1) div {BLOCK} as int)"
+    whole = f"array_join(slice({blocks}, {first} + 2, {last} - {first} - 1), '')"
+    return (f"case when ({end}) <= ({start}) then '' "
+            f"when {first} = {last} then substring({blocks}[{first}], cast(({start}) % {BLOCK} + 1 as int), cast(({end}) - ({start}) as int)) "
+            f"else concat(substring({blocks}[{first}], cast(({start}) % {BLOCK} + 1 as int)), {whole}, substring({blocks}[{last}], 1, cast((({end}) - 1) % {BLOCK} + 1 as int))) end")
+
+
 def masked(docs: DataFrame, options: Bootstrap = Bootstrap(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with every span of its text replaced by its kind in brackets; overlapping spans are replaced together.
+    """``docs`` with every span of its text replaced by its kind in brackets; overlapping spans are replaced together, as the first one's kind.
 
-    All columns are kept; null texts stay null.
+    All columns are kept, whatever their names; null texts stay null.
     """
     found = personal_data(docs, options, id_col, text_col).where("size(spans) > 0")
     # equal rows have equal spans: one list for each id and text is enough
     found = found.groupBy("doc_id", "text_key").agg(F.first("spans").alias("spans"))
-    merged = F.expr("""aggregate(spans, cast(array() as array<struct<start:bigint,end:bigint,kind:string>>), (a, s) ->
-        case when size(a) > 0 and a[size(a) - 1].end > s.start
-             then concat(slice(a, 1, size(a) - 1), array(struct(a[size(a) - 1].start as start, greatest(a[size(a) - 1].end, s.end) as end, a[size(a) - 1].kind as kind)))
-             else concat(a, array(struct(s.start as start, s.end as end, s.kind as kind))) end)""")
-    found = found.select(F.col("doc_id").alias("_span_id"), F.col("text_key").alias("_span_key"), merged.alias("_spans"))
-    text = F.col(text_col).cast("string")
-    keyed = docs.withColumn("_text_key", text_key(F.coalesce(text, F.lit(""))))
-    met = keyed.join(found, (F.col("_text_key") == F.col("_span_key")) & F.col(id_col).cast("long").eqNullSafe(F.col("_span_id")), "left")
-    pieces = F.expr(f"""transform(_spans, (s, i) -> concat(substring(`{text_col}`, cast(if(i = 0, 0, _spans[i - 1].end) + 1 as int),
-        cast(s.start - if(i = 0, 0, _spans[i - 1].end) as int)), '[', upper(s.kind), ']'))""")
-    clean = F.concat(F.array_join(pieces, ""), F.expr(f"substring(`{text_col}`, cast(_spans[size(_spans) - 1].end + 1 as int))"))
-    return met.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(clean)).select(*docs.columns)
+    each = found.select("doc_id", "text_key", F.inline("spans"))
+    order = Window.partitionBy("doc_id", "text_key").orderBy("start", "rank")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    each = each.withColumn("fresh", (reach.isNull() | (reach <= F.col("start"))).cast("int"))
+    each = each.withColumn("island", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    islands = each.groupBy("doc_id", "text_key", "island").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "rank")).alias("kind"))
+    islands = islands.withColumn("past", F.coalesce(F.lag("end").over(Window.partitionBy("doc_id", "text_key").orderBy("start")), F.lit(0)))
+    names = {c: _free_name(docs, f"masked_{c}") for c in ("id", "of", "key", "spans", "blocks")}
+    spans, blocks = f"`{names['spans']}`", f"`{names['blocks']}`"
+    merged = islands.groupBy(F.col("doc_id").alias(names["id"]), F.col("text_key").alias(names["of"])).agg(
+        F.array_sort(F.collect_list(F.struct("start", "end", "past", "kind"))).alias(names["spans"]))
+    text = F.col(f"`{text_col}`").cast("string")
+    keyed = docs.withColumn(names["key"], text_key(F.coalesce(text, F.lit(""))))
+    same = (F.col(names["key"]) == F.col(names["of"])) & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(names["id"]))
+    met = keyed.join(merged, same, "left")
+    met = met.withColumn(names["blocks"], F.when(F.expr(f"{spans} is not null"), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
+    pieces = F.expr(f"transform({spans}, s -> concat({_piece(blocks, 's.past', 's.start')}, '[', upper(s.kind), ']'))")
+    rest = F.expr(_piece(blocks, f"{spans}[size({spans}) - 1].end", f"{BLOCK} * (size({blocks}) - 1) + char_length({blocks}[size({blocks}) - 1])"))
+    clean = F.concat(F.array_join(pieces, ""), rest)
+    return met.withColumn(text_col, F.when(F.expr(f"{spans} is null"), F.col(f"`{text_col}`")).otherwise(clean)).select(*[f"`{c}`" for c in docs.columns])
