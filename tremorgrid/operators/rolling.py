@@ -105,11 +105,31 @@ def active_days(days: DataFrame, cfg: HazardConfig) -> DataFrame:
     })
 
 
-def running_series(days: DataFrame, cfg: HazardConfig) -> DataFrame:
-    """Running totals, decayed sums and last event on each event day of active cells."""
+def _from_first_day(days: DataFrame, first_day: Column) -> DataFrame:
+    """A day without events at ``first_day`` for each cell whose series starts later."""
+    first = F.row_number().over(Window.partitionBy(*CELL).orderBy("day_ord")) == 1
+    late = F.col("_first") & (F.col("day_ord") > first_day)
+    copies = F.when(late, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
+    doubled = days.withColumn("_first", first).withColumn("_added", F.explode(copies)).drop("_first")
+    empty = {c: F.when(F.col("_added"), F.lit(0)).otherwise(F.col(c)).cast(t)
+             for c, t in days.dtypes if c in ("n", "nbr_n", "sum_mag", "sum_energy", "qual_count", "qual_summag", "sig_count")}
+    return doubled.withColumns(empty | {
+        "max_mag": F.when(~F.col("_added"), F.col("max_mag")),
+        "day_ord": F.when(F.col("_added"), first_day).otherwise(F.col("day_ord")),
+    }).drop("_added")
+
+
+def running_series(days: DataFrame, cfg: HazardConfig, first_day: Column | None = None) -> DataFrame:
+    """Running totals, decayed sums and last event on each event day of active cells.
+
+    With ``first_day`` every cell's series begins there.
+    """
     by_day = Window.partitionBy(*CELL).orderBy("day_ord")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = active_days(days, cfg).withColumns({
+    active = active_days(days, cfg)
+    if first_day is not None:
+        active = _from_first_day(active, first_day)
+    totals = active.withColumns({
         "events": F.sum("n").over(so_far),
         "mag": F.sum(F.col("sum_mag").cast(MAG_SUM)).over(so_far),
         "energy": F.sum(F.col("sum_energy").cast(ENERGY_SUM)).over(so_far),

@@ -32,15 +32,17 @@ def last_day_of(catalog: DataFrame) -> Column:
 
 
 def cell_day_features(catalog: DataFrame, cfg: HazardConfig = HazardConfig(),
-                      last_day: Column | None = None) -> DataFrame:
+                      last_day: Column | None = None, whole_calendar: bool = False) -> DataFrame:
     """Dense features per (cell, day) of active cells, before any row filter.
 
     Series start with the first day on which the cell or a neighbour had an
-    event: before it all features are zero or missing.
+    event: before it all features are zero or missing. With ``whole_calendar``
+    these days have rows too, from the first day of the catalog.
     """
     last = last_day if last_day is not None else last_day_of(catalog)
+    first = grid.calendar_bounds(catalog).select("first_day").scalar() if whole_calendar else None
     days = grid.with_neighbors(grid.cell_days(catalog, cfg))
-    return rolling.trailing_features(rolling.running_series(days, cfg), last, cfg)
+    return rolling.trailing_features(rolling.running_series(days, cfg, first), last, cfg)
 
 
 def labelled_days(catalog: DataFrame, cfg: HazardConfig = HazardConfig(),

@@ -372,8 +372,9 @@ def dense_cell_day(spark, d):
 # --- trailing features ------------------------------------------------------------
 
 def long_features(spark, d, *columns):
-    rows = features.cell_day_features(orders(spark, d), CFG)
-    return rows.where("historical_event_count > 0").select("day", "cell_lat", "cell_lon", *columns)
+    """All days of the calendar for every active cell."""
+    rows = features.cell_day_features(orders(spark, d), CFG, whole_calendar=True)
+    return rows.select("day", "cell_lat", "cell_lon", *columns)
 
 
 def _windowed(expr: Callable[[int], str], windows, prefix: str, suffix: str = "d") -> str:
@@ -384,7 +385,7 @@ def _windowed(expr: Callable[[int], str], windows, prefix: str, suffix: str = "d
     return f"""
 with {_O}, {S.PAST}, {ctes}
 select p.day, p.i + cast(0.5 as double) as cell_lat, p.j + cast(0.5 as double) as cell_lon, {columns}
-from past p {joins} join mc on mc.i = p.i and mc.j = p.j where p.hist > 0"""
+from past p {joins} join mc on mc.i = p.i and mc.j = p.j"""
 
 
 @query("rolling_counts", _windowed(lambda w: f"w{w}.n", S.WINDOWS, "rolling_count"))
@@ -423,7 +424,7 @@ with {_O}, {S.PAST}
 select day, i + cast(0.5 as double) as cell_lat, j + cast(0.5 as double) as cell_lon,
        {q('n3')} as decay_count_hl3d, {q('log10(e3 + 1)')} as decay_log_energy_hl3d,
        {q('n10')} as decay_count_hl10d, {q('log10(e10 + 1)')} as decay_log_energy_hl10d
-from past where hist > 0""")
+from past""")
 def decay_features(spark, d):
     return long_features(spark, d, "decay_count_hl3d", "decay_log_energy_hl3d",
                          "decay_count_hl10d", "decay_log_energy_hl10d")
@@ -433,17 +434,17 @@ def decay_features(spark, d):
 with {_E}, {S.PAST}, {S.NEIGHBOURS}
 select n.day, n.i + cast(0.5 as double) as cell_lat, n.j + cast(0.5 as double) as cell_lon,
        {q('n.nn')} as neighbor_decay_count_hl3d
-from nbr n join past p on p.i = n.i and p.j = n.j and p.day = n.day where p.hist > 0""")
+from nbr n join past p on p.i = n.i and p.j = n.j and p.day = n.day""")
 def neighbor_decay(spark, d):
-    rows = features.cell_day_features(clean_events(spark, d), CFG)
-    return rows.where("historical_event_count > 0").select(
+    rows = features.cell_day_features(clean_events(spark, d), CFG, whole_calendar=True)
+    return rows.select(
         "day", "cell_lat", "cell_lon", "neighbor_decay_count_hl3d")
 
 
 @query("days_since_last", f"""
 with {_O}, {S.PAST}
 select day, i + cast(0.5 as double) as cell_lat, j + cast(0.5 as double) as cell_lon,
-       {q('since')} as days_since_last_event from past where hist > 0""")
+       {q('since')} as days_since_last_event from past""")
 def days_since_last(spark, d):
     return long_features(spark, d, "days_since_last_event")
 
@@ -451,7 +452,7 @@ def days_since_last(spark, d):
 @query("event_maturity", f"""
 with {_O}, {S.PAST}
 select day, i + cast(0.5 as double) as cell_lat, j + cast(0.5 as double) as cell_lon,
-       {q('hist')} as historical_event_count from past where hist > 0""")
+       {q('hist')} as historical_event_count from past""")
 def event_maturity(spark, d):
     return long_features(spark, d, "historical_event_count")
 
