@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import cases
 from tremorgrid.llm import byte_bpe, decontamination, quality_model, repetition, simhash, text, token_counts
+from tremorgrid.llm.queries import QUERIES
 from tremorgrid.llm.tables import remainder
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -266,7 +268,7 @@ def test_quality_rules_method_verdict(spark):
 def test_quality_model_learns_and_takes_odd_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    known = docs.join(labels.where(remainder(F.col("doc_id"), 4) != 2), "doc_id").select("doc_id", "text", F.col("quality").alias("label"))
+    known = labels.where(remainder(F.col("doc_id"), 4) != 2).select("doc_id", F.col("quality").alias("label"))
     scores = quality_model.quality_scores(docs, known)
     held = scores.join(labels.where(remainder(F.col("doc_id"), 4) == 2), "doc_id").select("score", "quality").collect()
     good, bad = ([r.score for r in held if r.quality == q] for q in (1, 0))
@@ -283,3 +285,54 @@ def test_training_separates_and_repeats():
     odds, bias = quality_model.train(rows, cfg)
     assert (odds[[0, 1]] + bias > 0).all() and (odds[[2, 3]] + bias < 0).all()
     assert np.allclose(quality_model.train(rows, cfg)[0], odds)
+
+
+def brute_features(text, cfg):
+    """Hashed features of all words and repeats, one by one."""
+    words, found, mask = cases.words(text), Counter(), (1 << 64) - 1
+    for k, word in enumerate(words):
+        raw = word.encode()
+        found[xxhash.xxh64_intdigest(raw, 1) % cfg.buckets] += 1
+        marked = b"<" + raw + b">"
+        for start in range(len(marked)):
+            rolled = 0
+            for n, byte in enumerate(marked[start : start + cfg.longest], 1):
+                rolled = (rolled + byte + 1) * 0x9E3779B185EBCA87 & mask
+                rolled ^= rolled >> 29
+                if n >= cfg.shortest:
+                    found[((rolled * 0xC2B2AE3D27D4EB4F & mask) >> 40) % cfg.buckets] += 1
+        found[cfg.buckets] += k > 0 and words[k - 1] == word
+    return +found
+
+
+def test_quality_features_and_scores_against_brute_force(spark):
+    cfg = quality_model.QualityConfig(buckets=4096, epochs=3, max_labelled=30)
+    rows = [(i, t) for i, t in cases.texts() if len(t or "") < 20_000] + [(r.doc_id + 50, r.text) for r in cases.sample(spark).where("doc_id < 60").collect()] + [(20, "so so so good good"), (20, "another of that id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marks = [(i, i % 2) for i in [*range(1, 17), 20, *range(50, 110)]] + [(20, 1), (None, 1), (5, None), (6, 3), (900, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, label int")
+    got = quality_model.labelled_features(docs, labels.where("doc_id is not null and label in (0, 1)"), cfg)
+    own = [dict(zip(ids.tolist(), counts.astype(int).tolist())) for _, ids, counts in got]
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, []).append(t)
+    pairs = [(y, dict(brute_features(t, cfg))) for i, y in marks if i is not None and y in (0, 1) for t in texts.get(i, [])]
+    assert 0 < len(got) <= cfg.max_labelled and all((y, f) in pairs for (y, _, _), f in zip(got, own))
+    odds, bias = quality_model.train(got, cfg)
+    positive = sum(y for y, _, _ in got)
+    prior = np.log((positive + 1) / (len(got) - positive + 1))
+    want = []
+    for i, t in rows:
+        f = brute_features(t, cfg)
+        heard = sum(f.values())
+        logit = (bias * heard + sum(n * float(odds[k]) for k, n in f.items()) + cfg.prior_features * prior) / max(1, heard + cfg.prior_features)
+        want.append((i, round(1 / (1 + np.exp(-logit)), 6)))
+    scored = quality_model.quality_scores(docs, labels, cfg)
+    assert sorted(((r.doc_id, round(r.score, 6)) for r in scored.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_quality_texts_are_not_shuffled(spark, monkeypatch):
+    plans, limit = [], type(spark.range(1)).limit
+    monkeypatch.setattr(type(spark.range(1)), "limit", lambda df, n: plans.append(df._jdf.queryExecution().toString()) or limit(df, n))
+    QUERIES["op10_quality_model"](spark, cases.SF)
+    assert plans and not any("SortMergeJoin" in p or "hashpartitioning" in p for p in plans)

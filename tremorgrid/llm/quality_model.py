@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tremorgrid.llm.tables import documents
 from tremorgrid.llm.text import row_sums, slices, space_words, subwords, texts_of
+from tremorgrid.session import small_side
 
 
 @dataclass(frozen=True)
@@ -51,10 +52,15 @@ def _repeats(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return row_sums(same, bounds)
 
 
-def labelled_features(labelled: DataFrame, cfg: QualityConfig) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Label, features and their counts of at most ``cfg.max_labelled`` rows, those first in a hash order of the id."""
+def labelled_features(docs: DataFrame, labels: DataFrame, cfg: QualityConfig) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Label, features and their counts of at most ``cfg.max_labelled`` labelled rows, those first in a hash order of the id.
+
+    The ids are chosen from the labels alone; no text moves but theirs, and only
+    as features (at most two numbers for each hashed feature).
+    """
     order = F.xxhash64(F.col("doc_id"), F.lit(cfg.seed))
-    sample = labelled.select("doc_id", "text", "label").orderBy(order, "doc_id", F.xxhash64("text"), "label").limit(cfg.max_labelled)
+    chosen = labels.select("doc_id", "label").orderBy(order, "doc_id", "label").limit(cfg.max_labelled)
+    sample = docs.join(small_side(chosen, cfg.max_labelled), "doc_id").select("doc_id", "text", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, features, edges, codes, bounds in _rows(batches, cfg):
@@ -72,7 +78,10 @@ def labelled_features(labelled: DataFrame, cfg: QualityConfig) -> list[tuple[int
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(found, pa.binary()), pa.array(counts, pa.binary())],
                                              names=["doc_id", "label", "ids", "counts"])
 
-    got = sample.mapInArrow(run, "doc_id long, label int, ids binary, counts binary").orderBy("doc_id", "label", "ids").toArrow().to_pylist()
+    found = sample.mapInArrow(run, "doc_id long, label int, ids binary, counts binary")
+    # an id may stand for many texts: the bound holds for rows
+    got = found.orderBy(order, "doc_id", "label", "ids", "counts").limit(cfg.max_labelled).toArrow().to_pylist()
+    got.sort(key=lambda r: (r["doc_id"], r["label"], r["ids"], r["counts"]))
     return [(r["label"], np.frombuffer(r["ids"], np.int32), np.frombuffer(r["counts"], np.float32)) for r in got]
 
 
@@ -108,18 +117,19 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], cfg: QualityConfig) ->
     return (vectors @ odds).astype(np.float32), float(bias[1] - bias[0])
 
 
-def quality_scores(docs: DataFrame, labelled: DataFrame, cfg: QualityConfig = QualityConfig(), threshold: float = 0.7,
+def quality_scores(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig(), threshold: float = 0.7,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted), one row per input row; whole texts are scored.
 
-    ``labelled``: doc_id, text, label (0 or 1) to learn from; rows with a null
-    label are left out, rows labelled twice count twice. Texts that are null or
-    empty get the prior's score, and short ones lean to it. Rows
-    with equal or null ids stay apart; other columns are ignored. The model is
-    one float per bucket, so what is shipped to the tasks has a fixed size.
+    ``labels``: doc_id and label (0 or 1) of the rows of ``docs`` to learn from;
+    null and other labels are left out, rows labelled twice count twice, a label
+    holds for every row with its id. Texts that are null or empty get the
+    prior's score, and short ones lean to it. Rows with equal or null ids stay
+    apart; other columns are ignored. The model is one float per bucket, so what
+    is shipped to the tasks has a fixed size.
     """
-    known = labelled.where("label in (0, 1)").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("label").cast("int"))
-    rows = labelled_features(known, cfg)
+    known = labels.where("doc_id is not null and label in (0, 1)").select(F.col("doc_id").cast("long"), F.col("label").cast("int"))
+    rows = labelled_features(documents(docs, id_col, text_col), known, cfg)
     odds, bias = train(rows, cfg)
     positive = sum(r[0] for r in rows)
     prior = float(np.log((positive + 1) / (len(rows) - positive + 1)))
