@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tremorgrid.config import HazardConfig
-from tremorgrid.operators import boosting, cleaning
+from tremorgrid.operators import boosted, boosting, cleaning
 from tremorgrid.operators.boosting import SammeModel
-from tremorgrid.plans import reports, training
+from tremorgrid.operators.imputation import Imputation
+from tremorgrid.plans import bundle, reports, training
+from tremorgrid.session import folders, materialize, scratch_scope, shared_dir
 from tremorgrid.sources import catalog as feed
 from tremorgrid.sources import views
 from tremorgrid.sources.tables import TableStore
@@ -74,16 +76,153 @@ def test_samme_learns_and_survives_saving(spark, tmp_path, separable, kind):
     assert model.importances()[0] > model.importances()[1]
 
 
-def test_best_rounds_and_refit(separable):
-    model = boosting.fit_gbt(separable, depth=2, rate=0.3, rounds=4)
-    rounds = boosting.best_rounds(model, separable)
-    assert rounds == 1  # one tree already separates the classes
-    short = boosting.truncate_gbt(model, separable, rounds, depth=2, rate=0.3)
-    assert short.getNumTrees == 1
-    last = boosting.staged_probabilities(model, separable).where("rounds = 4")
-    direct = boosting.gbt_probability(model, separable)
-    assert last.agg(F.sum("proba")).first()[0] == pytest.approx(
-        direct.agg(F.sum("proba")).first()[0])
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """Rows whose second input says something, with a fifth of the labels turned; split in two."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = spark.range(800).select(
+        F.col("id"), F.array(F.rand(5), F.rand(6), F.rand(7)).alias("x")).withColumn(
+        "target", ((F.col("x")[1] > 0.5) != (F.rand(8) < 0.2)).cast("int"))
+    stored = rows.select("id", "target", array_to_vector("x").alias(boosting.VECTOR)).cache()
+    return stored.where("id % 2 = 0").drop("id"), stored.where("id % 2 = 1").drop("id")
+
+
+def test_boosting_waits_and_keeps_the_best_round(spark, tmp_path, noisy):
+    train, judge = noisy
+    model = boosted.fit_boosted(train, ["a", "b", "c"], depth=3, rate=0.5, rounds=60, judge=judge, patience=7)
+    values = [v for _, v in model.curve]
+    best = values.index(max(values)) + 1
+    assert model.rounds == best and [r for r, _ in model.curve] == list(range(1, len(values) + 1))
+    assert len(values) >= best + 7 and len(values) <= best + 7 + boosted.BLOCK
+    again = boosted.fit_boosted(train, ["a", "b", "c"], depth=3, rate=0.5, rounds=best)  # no judge: all rounds
+    scored = again.transform(model.transform(judge, "stopped"), "short")
+    assert scored.where("abs(stopped - short) > 1e-9").isEmpty()
+    pos = judge.where("target = 1").count()
+    pairs = model.transform(judge).select("target", "proba")
+    a, b = pairs.where("target = 1").select(F.col("proba").alias("p")), pairs.where("target = 0").select(F.col("proba").alias("q"))
+    auc = a.crossJoin(b).agg(F.avg(F.when(F.col("p") > F.col("q"), 1.0).when(F.col("p") == F.col("q"), 0.5).otherwise(0.0))).first()[0]
+    assert auc == pytest.approx(max(values)) and auc > 0.7 and pos
+    assert model.importances()[1] > 0.4 and sum(model.importances()) == pytest.approx(1)
+    model.save(spark, str(tmp_path / "m"))
+    loaded = boosted.BoostedTrees.load(spark, str(tmp_path / "m"))
+    assert loaded.curve == model.curve and loaded.columns == model.columns
+    assert loaded.transform(model.transform(judge, "ours"), "stored").where("ours <> stored").isEmpty()
+
+
+def test_first_newton_step_by_hand(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    rows = spark.createDataFrame([(1, 0.0), (1, 0.0), (0, 0.0), (0, 1.0), (0, 1.0), (1, 1.0)], "target int, x double")
+    rows = rows.select("target", array_to_vector(F.array("x")).alias(boosting.VECTOR), "x")
+    model = boosted.fit_boosted(rows, ["x"], depth=1, rate=1.0, rounds=1, positive_weight=2.0)
+    # leaf = sum w (y - 1/2) / sum w / 4
+    want = {0.0: (2 * 2 * 0.5 - 0.5) / ((2 * 2 + 1) / 4), 1.0: (2 * 0.5 - 2 * 0.5) / ((2 + 2) / 4)}
+    for r in model.transform(rows).collect():
+        assert r.proba == pytest.approx(1 / (1 + 2.718281828459045 ** -want[r.x]))
+
+
+def test_best_of_stops_at_patience():
+    assert boosted.best_of([(1, 0.5), (2, 0.7), (3, 0.7), (4, 0.6)], 2) == (2, True)
+    assert boosted.best_of([(1, 0.5), (2, 0.7), (3, 0.7)], 2) == (2, False)
+    assert boosted.best_of([(1, None), (2, None), (3, None)], 2) == (0, True)
+    assert boosted.best_of([(1, 0.5), (2, 0.4), (3, 0.4), (4, 0.9)], 2) == (1, True)  # what comes later does not count
+
+
+def test_judge_of_one_class_leaves_all_rounds(noisy):
+    train, judge = noisy
+    model = boosted.fit_boosted(train, ["a", "b", "c"], depth=1, rate=0.5, rounds=3, judge=judge.where("target = 1"), patience=50)
+    assert model.rounds == 3 and [v for _, v in model.curve] == [None] * 3
+    with pytest.raises(boosting.Unfit):
+        boosted.fit_boosted(train.where("target = 0"), ["a", "b", "c"], rounds=2)
+
+
+def test_staged_votes_are_those_of_shorter_ensembles(noisy):
+    train, judge = noisy
+    long = boosting.fit_samme(train, ["a", "b", "c"], rounds=5, depth=1)
+    staged = long.staged(judge, [1, 3, 5, 9], ["target"]).groupBy("rounds").agg(F.sum("proba").alias("s")).collect()
+    at = {r.rounds: r.s for r in staged}
+    assert sorted(at) == [1, 3, 5, 9] and at[9] == at[5]  # boosting that ended is as it is
+    for k in (1, 3, 5):
+        short = boosting.fit_samme(train, ["a", "b", "c"], rounds=k, depth=1)
+        assert short.transform(judge).agg(F.sum("proba")).first()[0] == pytest.approx(at[min(k, len(long.members))])
+
+
+def test_uninformative_rows_train_no_first_member(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    rows = spark.createDataFrame([(int(k % 30 == 0), float(k % 5 < 3)) for k in range(300)], "target int, x double")
+    rows = rows.select("target", array_to_vector(F.array("x")).alias(boosting.VECTOR))
+    fitted, absent = training.fit_models(rows, None, ["x"], {"adaboost_dt": dict(depth=2, rounds=3, rate=0.6)}, CFG)
+    assert not fitted and "chance" in absent["adaboost_dt"]
+
+
+def test_grid_over_rounds_costs_one_fit_a_fold(spark, noisy, monkeypatch):
+    fits, plain = [], boosting.fit_samme
+    monkeypatch.setattr(boosting, "fit_samme", lambda *a, **k: fits.append(k["rounds"]) or plain(*a, **k))
+    rows = noisy[0].withColumn("day", F.lit("2024-01-01").cast("date")).withColumn("row_index", F.monotonically_increasing_id())
+    n = rows.count()
+    rows = spark.createDataFrame([(*r[:3], k) for k, r in enumerate(rows.collect())], rows.schema).cache()
+    grid = {"depth": [1, 2], "rounds": [1, 2, 4], "rate": [0.6]}
+    folds = training.grid_search("adaboost_dt", rows, ["a", "b", "c"], grid, CFG.with_(horizon_days=0, cv_folds=2), parallelism=1).cache()
+    assert sorted(fits) == [4] * 4 and folds.count() == 12 and n
+    scores = training.grid_scores(folds).collect()
+    assert len(scores) == 6 and sum(r.is_best for r in scores) == 1
+    assert training.best_params(training.grid_scores(folds))["rate"] == 0.6
+
+
+def test_bundle_is_published_as_one_and_refuses_other_inputs(spark, tmp_path, noisy):
+    train, judge = noisy
+    store, columns = TableStore(spark, str(tmp_path / "s")), ["a", "b", "c"]
+    imputation = Imputation(columns, [], {"a": 0.1, "b": 1 / 3, "c": 2.0})
+    gbt = boosted.fit_boosted(train, columns, depth=1, rounds=2)
+    with pytest.raises(FileNotFoundError):
+        bundle.load_bundle(store)
+    bundle.publish_bundle(store, "r1", {"gbt": gbt}, imputation, {"gbt": {"depth": 1}}, {"adaboost_dt": "no better than chance"})
+    loaded = bundle.load_bundle(store)
+    assert loaded.imputation == imputation and set(loaded.models) == {"gbt"} and loaded.absent == {"adaboost_dt": "no better than chance"}
+    assert loaded.params == {"gbt": {"depth": 1}} and bundle.load_bundle(store, models=[]).models == {}
+    features = spark.createDataFrame([(0.5, None, 1.0), (0.1, 0.9, None)], "a double, b double, c double")
+    assert loaded.score(features).columns == ["a", "b", "c", "proba_gbt"] and loaded.score(features).where("proba_gbt between 0 and 1").count() == 2
+    for other in (["a", "b", "x"], ["b", "a", "c"], ["a", "b"]):
+        with pytest.raises(ValueError):
+            bundle.publish_bundle(store, "r2", {"gbt": gbt}, Imputation(other, [], {}), {})
+    assert bundle.load_bundle(store).run_id == "r1"  # nothing of the refused run is visible
+    with pytest.raises(FileExistsError):
+        bundle.publish_bundle(store, "r1", {"gbt": gbt}, imputation, {})
+
+
+def test_versions_rollback_and_prune(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    for k in (1, 2, 3, 4):
+        store.publish(f"r{k}", {"t": store.write(spark.range(k), "t", f"r{k}"), "u": store.write(spark.range(10 * k), "u", f"r{k}")})
+    assert [v["run_id"] for v in store.versions("t")] == ["r4", "r3", "r2", "r1"]
+    store.rollback("r2")
+    assert store.read("t").count() == 2 and store.read("u").count() == 20 and store.read("t", run_id="r4").count() == 4
+    store.write(spark.range(7), "t", "r3b")  # never published, older than the newest
+    store.write(spark.range(7), "t", "r5")  # being written now
+    assert sorted(store.prune("t", keep=2)) == ["r1", "r3", "r3b"]
+    assert sorted(folders(spark, str(tmp_path / "s/t"))) == ["run_id=r2", "run_id=r4", "run_id=r5"]
+    assert store.read("t").count() == 2 and store.read("u", run_id="r1").count() == 10
+    with pytest.raises(FileNotFoundError):
+        store.read("t", run_id="r1")
+    with pytest.raises(FileExistsError):  # a removed run's name is not used again
+        store.write(spark.range(1), "t", "r1")
+    with pytest.raises(FileNotFoundError):
+        store.rollback("r9")
+    assert store.prune("t", keep=2) == []
+
+
+def test_fits_leave_no_tables_behind(spark, noisy):
+    train, judge = noisy
+    base = shared_dir(spark)
+    before = set(folders(spark, base))
+    boosted.fit_boosted(train, ["a", "b", "c"], depth=1, rounds=boosted.BLOCK + 1, judge=judge)
+    boosting.fit_samme(train, ["a", "b", "c"], rounds=boosting.CHECKPOINT_EVERY + 1, depth=1)
+    assert set(folders(spark, base)) == before
+    with scratch_scope(spark):
+        kept = materialize(spark.range(3), "kept").count()
+    assert kept == 3 and set(folders(spark, base)) == before
 
 
 def test_grid_search_scores_every_fold(spark, separable):

@@ -1,7 +1,7 @@
-"""Distributed classifiers: gradient-boosted trees and SAMME boosting.
+"""Discrete AdaBoost (SAMME) over weighted trees or forests, and what all classifiers share.
 
-Both are fitted by Spark ML on distributed rows. The boosting loop adds what
-Spark ML lacks: a discrete AdaBoost (SAMME) over weighted trees or forests.
+Members are fitted by Spark ML on distributed rows; the boosting loop adds what
+Spark ML lacks. Gradient-boosted trees are in ``boosted``.
 """
 
 from __future__ import annotations
@@ -11,19 +11,21 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import (
-    DecisionTreeClassificationModel, DecisionTreeClassifier, GBTClassificationModel, GBTClassifier,
+    DecisionTreeClassificationModel, DecisionTreeClassifier,
     RandomForestClassificationModel, RandomForestClassifier,
 )
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tremorgrid.operators import metrics
-from tremorgrid.session import materialize
+from tremorgrid.session import materialize, scratch_scope
 
 VECTOR = "features"
 CHECKPOINT_EVERY = 5
 
 
+class Unfit(ValueError):
+    """A model that these rows cannot train; evaluation reports it as absent."""
+
+
 def class_counts(train: DataFrame) -> tuple[int, int]:
     row = train.agg(F.count(F.lit(1)).alias("n"), F.sum("target").alias("pos")).first()
     return int(row["pos"] or 0), int(row["n"] - (row["pos"] or 0))
@@ -41,67 +43,9 @@ def check_schema(declared: list[str], fitted: list[str]) -> None:
     if odd:
         sides = ", ".join(f"{c} ({'stored list' if c in declared else 'model'} only)" for c in odd)
         raise ValueError(f"the stored column list and the model are from different runs: {sides}")
-
-
-# --- gradient-boosted trees -------------------------------------------------
-
-def fit_gbt(train: DataFrame, depth: int = 4, rate: float = 0.03, rounds: int = 20,
-            seed: int = 42, positive_weight: float | None = None) -> GBTClassificationModel:
-    """Boosted trees with positives weighted by the class ratio of ``train``."""
-    weight = positive_weight if positive_weight is not None else class_ratio(train)
-    weighted = train.withColumn(
-        "weight", F.when(F.col("target") == 1, float(weight)).otherwise(1.0))
-    return GBTClassifier(
-        featuresCol=VECTOR, labelCol="target", weightCol="weight", maxDepth=depth,
-        stepSize=rate, maxIter=rounds, seed=seed, maxBins=64,
-    ).fit(weighted)
-
-
-def gbt_probability(model: GBTClassificationModel, rows: DataFrame, name: str = "proba") -> DataFrame:
-    # a copy: scoring must not change the settings of a model that may be saved
-    scored = model.copy().setRawPredictionCol("").setPredictionCol("").setProbabilityCol("_p").transform(rows)
-    return scored.withColumn(name, vector_to_array("_p")[1]).drop("_p")
-
-
-def staged_probabilities(model: GBTClassificationModel, rows: DataFrame) -> DataFrame:
-    """Probability after each number of trees: one row per input row and ``rounds``.
-
-    All trees score a row in one pass; margins are summed up in an array.
-    """
-    staged = rows
-    for k, tree in enumerate(model.trees):
-        staged = tree.setPredictionCol(f"_tree_{k}").transform(staged)
-    weights = list(model.treeWeights)
-    margins, total = [], F.lit(0.0)
-    for k, w in enumerate(weights):
-        total = total + F.col(f"_tree_{k}") * F.lit(float(w))
-        margins.append(total)
-    names = [f"_tree_{k}" for k in range(len(weights))]
-    stages = F.posexplode(F.array(*margins)).alias("_at", "_margin")
-    kept = [c for c in rows.columns if c != VECTOR]
-    return staged.select(*kept, stages).withColumns({
-        "rounds": F.col("_at") + 1, "proba": 1 / (1 + F.exp(-2.0 * F.col("_margin"))),
-    }).drop("_at", "_margin", *names)
-
-
-def best_rounds(model: GBTClassificationModel, validation: DataFrame, patience: int = 50) -> int:
-    """Number of trees with the best validation ROC-AUC, waiting ``patience`` rounds."""
-    staged = staged_probabilities(model, validation)
-    table = metrics.score_table(staged, ["rounds"])
-    curve = metrics.rank_metrics(table, ["rounds"]).orderBy("rounds").collect()
-    best, best_auc = len(curve), -1.0
-    for row in curve:
-        auc = row["roc_auc"] if row["roc_auc"] is not None else -1.0
-        if auc > best_auc:
-            best, best_auc = row["rounds"], auc
-        elif row["rounds"] - best >= patience:
-            break
-    return int(best)
-
-
-def truncate_gbt(model: GBTClassificationModel, train: DataFrame, rounds: int, **params):
-    """The same boosting stopped after ``rounds`` trees (refit: boosting is sequential)."""
-    return model if rounds == model.getNumTrees else fit_gbt(train, rounds=rounds, **params)
+    moved = [c for c, f in zip(declared, fitted) if c != f]
+    if moved or len(declared) != len(fitted):
+        raise ValueError(f"the stored column list and the model differ in order or number, first at {(moved or ['the end'])[0]}")
 
 
 # --- SAMME boosting ---------------------------------------------------------
@@ -126,6 +70,27 @@ class SammeModel:
         margin = votes * F.lit(2.0 / sum(self.weights))
         return rows.withColumn(name, 1 / (1 + F.exp(-margin))).drop(*helpers)
 
+    def staged(self, rows: DataFrame, at: list[int], keep: list[str]) -> DataFrame:
+        """``keep``, ``rounds`` and the probability after each number of members in ``at``.
+
+        One pass over the rows: running sums of the votes are taken at those
+        members. A number beyond the last member counts all of them, as boosting
+        that ended early would.
+        """
+        votes, margins, weight, last = F.lit(0.0), {}, 0.0, len(self.members)
+        wanted = {min(a, last) for a in at}
+        for k, (model, w) in enumerate(zip(self.members, self.weights), 1):
+            rows = _predict(model, rows, "_vote")
+            total = f"_sum_{k % 2}"
+            rows = rows.withColumn(total, (F.col(f"_sum_{1 - k % 2}") if k > 1 else votes) + (F.col("_vote") * 2 - 1) * F.lit(w)).drop("_vote")
+            weight += w
+            if k in wanted:
+                rows = rows.withColumn(f"_margin_{k}", F.col(total) * F.lit(2.0 / weight))
+                margins[k] = f"_margin_{k}"
+        stages = F.array(*[F.struct(F.lit(a).alias("rounds"), F.col(margins[min(a, last)]).alias("margin")) for a in sorted(set(at))])
+        each = rows.select(*keep, F.explode(stages).alias("_s"))
+        return each.select(*keep, "_s.rounds", (1 / (1 + F.exp(-F.col("_s.margin")))).alias("proba"))
+
     def importances(self) -> list[float]:
         """Mean importance of each input, weighted by the members' votes."""
         total = sum(self.weights)
@@ -158,11 +123,20 @@ def fit_samme(train: DataFrame, columns: list[str], rounds: int, kind: str = "tr
     """Discrete AdaBoost over decision trees (``tree``) or small forests (``forest``).
 
     Rows start with equal weight; members see them balanced between the
-    classes on top. After each round the weight of misclassified rows grows.
+    classes on top, but are judged by the weights without that balance, as the
+    method prescribes. A first member that is no better than chance by them
+    leaves no model: ``Unfit``. After each round the weight of misclassified rows grows.
     Weights are written to the shared folder every few rounds, so the plan
     stays short and no executor's loss costs more than those rounds.
     """
+    with scratch_scope(train.sparkSession):  # the model does not read the weights any more
+        return _boost(train, columns, rounds, kind, depth, rate, trees, subset, seed)
+
+
+def _boost(train, columns, rounds, kind, depth, rate, trees, subset, seed) -> SammeModel:
     pos, neg = class_counts(train)
+    if not pos or not neg:
+        raise Unfit("training rows of one class")
     n = pos + neg
     balance = F.when(F.col("target") == 1, n / (2.0 * max(pos, 1))).otherwise(n / (2.0 * max(neg, 1)))
     rows = train.select("target", VECTOR).withColumn("w", F.lit(1.0 / n))
@@ -182,7 +156,7 @@ def fit_samme(train: DataFrame, columns: list[str], rounds: int, kind: str = "tr
             break
         if error >= 0.5:
             if not members:
-                raise ValueError("the first member is no better than chance")
+                raise Unfit("the first member is no better than chance")
             break
         alpha = rate * math.log((1 - error) / error)
         members.append(model)

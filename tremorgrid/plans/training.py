@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import itertools
+import json
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from tremorgrid.config import HazardConfig
-from tremorgrid.operators import boosting, metrics, splits
+from tremorgrid.operators import boosted, boosting, metrics, splits
 from tremorgrid.operators.imputation import Imputation, fit_imputation
 from tremorgrid.session import materialize
 
@@ -29,65 +30,67 @@ def prepare(rows: DataFrame, imputation: Imputation, extra: tuple[str, ...] = ()
     return rows.select(*KEEP, *extra, imputation.vector().alias(boosting.VECTOR))
 
 
-def combinations(grid: dict[str, list]) -> list[dict]:
-    """All parameter sets of a grid, the last name varying fastest."""
-    sets: list[dict] = [{}]
-    for name, values in grid.items():
-        sets = [known | {name: value} for known in sets for value in values]
-    return sets
+def parameter_sets(grid: dict[str, list]) -> list[dict]:
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
-def fit(model: str, train: DataFrame, columns: list[str], params: dict, seed: int):
-    """Fit one candidate; returns ``score(rows, name) -> rows with a probability``."""
+def fit(model: str, train: DataFrame, columns: list[str], params: dict, seed: int, judge: DataFrame | None = None, patience: int = 50):
+    """One fitted candidate; boosted trees stop by ``judge`` rows if there are any. Raises ``Unfit`` if the rows train no model."""
     if model == "gbt":
-        fitted = boosting.fit_gbt(train, seed=seed, **params)
-        return fitted, lambda rows, name="proba": boosting.gbt_probability(fitted, rows, name)
+        return boosted.fit_boosted(train, columns, judge=judge, patience=patience, seed=seed, **params)
     kind = "forest" if model == "adaboost_rf" else "tree"
-    fitted = boosting.fit_samme(train, columns, kind=kind, seed=seed, **params)
-    return fitted, fitted.transform
+    return boosting.fit_samme(train, columns, kind=kind, seed=seed, **params)
 
 
 def grid_search(model: str, train: DataFrame, columns: list[str], grid: dict[str, list],
-                cfg: HazardConfig, parallelism: int = 2) -> DataFrame:
-    """ROC-AUC of each parameter set on each expanding fold.
-
-    ``train`` must be a stored table of prepared rows with ``row_index``.
-    Fits run side by side from driver threads; all folds are then judged by a
-    single grouped query. Returns (grid_no, fold, roc_auc, params).
+                cfg: HazardConfig, parallelism: int = 2, patience: int = 50) -> DataFrame:
+    """ROC-AUC of each grid point on each expanding fold: (grid_no, fold, rounds, roc_auc, params).
+
+    ``train`` must be a stored table of prepared rows with ``row_index``. Numbers
+    of rounds cost one fit a fold: an ensemble's first members are the smaller
+    ensemble, so one pass scores the fold at all of them. Boosted trees find
+    their number by ``patience``; their row has the best one. Fits run side by
+    side from driver threads, and staged scores of all fits are judged by one
+    grouped query. A fold of one class, or a grid point that trains no model
+    there, has a NULL score.
     """
     n, days = train.agg(F.count(F.lit(1)), F.count_distinct("day")).first()
     gap = round(cfg.horizon_days * n / max(days, 1))
-    ranges = splits.fold_ranges(n, gap, cfg.cv_folds)
-    index = F.col("row_index")
+    ranges = list(enumerate(splits.fold_ranges(n, gap, cfg.cv_folds), 1))
+    index, longest = F.col("row_index"), max(grid["rounds"])
+    points = parameter_sets(grid)  # as they are reported
+    shapes = parameter_sets({k: v for k, v in grid.items() if k != "rounds"})  # as they are fitted
+    if model == "gbt":
+        points = [p | {"rounds": longest} for p in shapes]
+    number = {str(p): k for k, p in enumerate(points)}
 
     def run(job):
-        (no, params), (fold, (train_end, start, end)) = job
-        part = train.where(index < train_end)
-        judged = train.where((index >= start) & (index < end))
-        # an early fold may hold a single class: no model, and a fold without a score
-        pos, neg = boosting.class_counts(part)
-        if pos == 0 or neg == 0:
-            return no, fold
-        _, score = fit(model, part, columns, params, cfg.seed)
-        return score(judged).select(
-            F.lit(no).alias("grid_no"), F.lit(fold).alias("fold"), "target", "proba")
-
-    jobs = itertools.product(enumerate(combinations(grid)), enumerate(ranges, 1))
+        shape, (fold, (train_end, start, end)) = job
+        part, judged = train.where(index < train_end), train.where((index >= start) & (index < end))
+        judge = judged if model == "gbt" else None
+        try:
+            fitted = fit(model, part, columns, shape | {"rounds": longest}, cfg.seed, judge, patience)
+        except boosting.Unfit:
+            own = [longest] if model == "gbt" else grid["rounds"]
+            return [(number[str({k: (shape | {"rounds": r})[k] for k in points[0]})], fold, None, None) for r in own]
+        if model == "gbt":
+            best = {r: auc for r, auc in fitted.curve}.get(fitted.rounds)
+            return [(number[str(shape | {"rounds": longest})], fold, fitted.rounds, best)]
+        at = F.create_map(*[x for r in grid["rounds"] for x in (F.lit(r), F.lit(number[str({k: (shape | {"rounds": r})[k] for k in grid})]))])
+        staged = fitted.staged(judged, grid["rounds"], ["target"])
+        return staged.select(at[F.col("rounds")].alias("grid_no"), F.lit(fold).alias("fold"), "rounds", "target", "proba")
+
     with ThreadPoolExecutor(parallelism) as pool:
-        results = list(pool.map(run, jobs))
-    scored = [r for r in results if isinstance(r, DataFrame)]
-    if not scored:
-        raise ValueError("no fold holds both classes")
-    unscored = [r for r in results if not isinstance(r, DataFrame)]
-    together = reduce(DataFrame.unionByName, scored)
-    groups = ["grid_no", "fold"]
-    scores = metrics.rank_metrics(metrics.score_table(together, groups), groups).select(*groups, "roc_auc")
-    if unscored:
-        scores = scores.unionByName(train.sparkSession.createDataFrame(
-            [(*r, None) for r in unscored], "grid_no int, fold int, roc_auc double"))
-    names = F.create_map(*[x for no, p in enumerate(combinations(grid))
-                           for x in (F.lit(no), F.lit(str(p)))])
-    return scores.select(*groups, "roc_auc", names[F.col("grid_no")].alias("params"))
+        results = list(pool.map(run, itertools.product(shapes, ranges)))
+    plain = [row for r in results if isinstance(r, list) for row in r]
+    staged = [r for r in results if isinstance(r, DataFrame)]
+    scores = train.sparkSession.createDataFrame(plain, "grid_no int, fold int, rounds int, roc_auc double")
+    if staged:
+        groups = ["grid_no", "fold", "rounds"]
+        together = reduce(DataFrame.unionByName, staged)
+        scores = scores.unionByName(metrics.rank_metrics(metrics.score_table(together, groups), groups).select(*groups, "roc_auc"))
+    names = F.create_map(*[x for k, p in enumerate(points) for x in (F.lit(k), F.lit(json.dumps(p)))])
+    return scores.withColumn("params", names[F.col("grid_no")])
 
 
 def grid_scores(folds: DataFrame) -> DataFrame:
@@ -107,6 +110,11 @@ def grid_scores(folds: DataFrame) -> DataFrame:
     return means.withColumn("is_best", F.col("grid_no") == best)
 
 
+def best_params(scores: DataFrame) -> dict:
+    """The parameters of the grid point marked as best."""
+    return json.loads(scores.where("is_best").first()["params"])
+
+
 def train_test(matrix: DataFrame, cfg: HazardConfig) -> tuple[DataFrame, DataFrame, DataFrame, Imputation]:
     """Prepared training, validation and test rows, and the fitted imputation.
 
@@ -121,11 +129,16 @@ def train_test(matrix: DataFrame, cfg: HazardConfig) -> tuple[DataFrame, DataFra
     return (*parts, imputation)
 
 
-def tuned_gbt(train: DataFrame, val: DataFrame, depth: int, rate: float, max_rounds: int,
-              cfg: HazardConfig, patience: int = 50):
-    """Boosted trees stopped at the number of rounds best on the validation rows."""
-    weight = boosting.class_ratio(train)
-    params = dict(depth=depth, rate=rate, seed=cfg.seed, positive_weight=weight)
-    full = boosting.fit_gbt(train, rounds=max_rounds, **params)
-    rounds = boosting.best_rounds(full, val, patience)
-    return boosting.truncate_gbt(full, train, rounds, **params), rounds
+def fit_models(train: DataFrame, val: DataFrame, columns: list[str], chosen: dict[str, dict], cfg: HazardConfig,
+               patience: int = 50) -> tuple[dict[str, object], dict[str, str]]:
+    """(fitted models, reasons of those that the rows do not train), by model key.
+
+    Boosted trees stop by the validation rows; the others train with the rounds they are given.
+    """
+    fitted, absent = {}, {}
+    for model, params in chosen.items():
+        try:
+            fitted[model] = fit(model, train, columns, params, cfg.seed, val, patience)
+        except boosting.Unfit as reason:
+            absent[model] = str(reason)
+    return fitted, absent

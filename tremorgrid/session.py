@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -55,9 +58,50 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+_scope = threading.local()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one intermediate table inside the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that this thread writes inside are removed at the end.
+
+    For work whose result does not read them any more: fitted models, written
+    tables, collected numbers.
+    """
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _scope.paths:
+            remove_path(spark, path)
+        _scope.paths = outer
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder on whatever file system its path names."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly inside ``path``; none if it does not exist."""
+    files, at = _file_system(spark, path)
+    if not files.exists(at):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(at) if f.isDirectory())
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
