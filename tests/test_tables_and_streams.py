@@ -1,5 +1,7 @@
 """Published tables, model files and multi-batch streams."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from tremorgrid.sources import catalog as feed
 from tremorgrid.sources import views
 from tremorgrid.sources.tables import TableStore
 from tremorgrid.streaming import events as streams
+from tremorgrid.streaming.buckets import BucketedTable
 
 SF = "/root/testdata/sf0.001"
 CFG = HazardConfig(mag_threshold=3.5, min_events_per_cell=10)
@@ -254,14 +257,61 @@ def landing(spark, tmp_path):
 def test_stream_upsert_equals_batch(spark, tmp_path, landing):
     stream, rows = landing
     root = str(tmp_path / "table")
-    streams.upsert_stream(stream, root, str(tmp_path / "cp")).awaitTermination()
-    assert spark.read.parquet(root).select("batch_id").distinct().count() == 4
-    current = streams.current_catalog(spark, root)
+    streams.upsert_stream(stream, root, str(tmp_path / "cp"), buckets=8).awaitTermination()
+    current = streams.current_catalog(spark, root, rows.schema, buckets=8)
     expected = cleaning.keep_latest(rows)
-    assert current.select(rows.columns).exceptAll(expected).count() == 0
-    assert current.count() == expected.count()
-    streams.compact_catalog(spark, root, str(tmp_path / "compact"))
-    assert streams.current_catalog(spark, str(tmp_path / "compact")).count() == expected.count()
+    assert current.exceptAll(expected).count() == 0 and current.count() == expected.count()
+
+
+def changed(spark, root, version):
+    return {n for n in folders(spark, f"{root}/rows/version={version}")}
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    schema = "id string, updated timestamp, mag double"
+    table = BucketedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, ["id"], buckets=16)
+    every = spark.range(500).select(F.col("id").cast("string").alias("id"), F.lit("2024-01-01").cast("timestamp").alias("updated"), F.lit(1.0).alias("mag"))
+    streams.merge_batch(table, every, 0)
+    for k in range(1, 20):
+        streams.merge_batch(table, every.where(f"id = '{k}'").withColumns({"mag": F.lit(1.0 + k), "updated": F.lit("2024-02-01").cast("timestamp")}), k)
+        assert len(changed(spark, table.root, k)) == 1  # however many batches came before
+    want = {str(i): 1.0 + i if 0 < i < 20 else 1.0 for i in range(500)}
+    assert {r.id: r.mag for r in table.read().collect()} == want
+    older = every.where("id in ('3', '400')").withColumns({"mag": F.lit(9.0), "updated": F.lit("2023-01-01").cast("timestamp")})
+    streams.merge_batch(table, older, 20)  # out of date: nothing changes
+    streams.merge_batch(table, older, 20)  # and the batch may run again
+    assert {r.id: r.mag for r in table.read().collect()} == want
+    removed = table.vacuum()
+    left = sum(len(changed(spark, table.root, v)) for v in range(21))
+    assert removed > 10 and left <= 32 and {r.id: r.mag for r in table.read().collect()} == want
+    assert table.vacuum() == 0 and table.read(buckets=set()).count() == 0
+
+
+def test_decayed_counts_over_many_small_batches(spark, tmp_path):
+    """Twenty batches of new, repeated and revised events; a batch run twice; expiry of contributions."""
+    make = lambda rows: spark.createDataFrame(rows, "id string, time timestamp_ntz, updated timestamp_ntz, latitude double, longitude double").withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("time", "updated")})
+    at = lambda day, minute=0: dt.datetime(2024, 1, 1) + dt.timedelta(days=day, minutes=minute)
+    batches = [[(f"e{k}", at(k), at(k), 1.5 + k % 3, 2.5), (f"e{k // 2}", at(k // 2), at(k, 1), 7.5 if k % 5 == 0 else 1.5, 2.5)] for k in range(20)]
+    events, cells = streams.decay_tables(spark, str(tmp_path), 8)
+    touched = []
+    for k, rows in enumerate(batches):
+        for _ in range(2 if k == 7 else 1):
+            streams.decay_batch(events, cells, make(rows), k, 3, CFG)
+        touched.append(len(changed(spark, cells.root, k)))
+    latest = {}
+    for rows in batches:
+        for i, time, updated, lat, lon in sorted(rows, key=lambda r: r[2]):
+            if i not in latest or updated >= latest[i][1]:
+                latest[i] = (time, updated, int(lat))
+    newest, want = max(t for t, _, _ in latest.values()), {}
+    for time, _, lat in latest.values():
+        want[lat] = want.get(lat, 0) + 0.5 ** ((newest - time).days / 3)
+    got = {r.cell_lat_floor: r.decayed for r in streams.decay_state(spark, str(tmp_path), 3, 8).collect()}
+    assert got == pytest.approx(want) and max(touched) <= 3
+    streams.decay_batch(events, cells, make([("late", at(40), at(40), 1.5, 2.5)]), 20, 3, CFG, keep_days=5)
+    bucket = events.touched(spark.createDataFrame([("late",)], "id string"))
+    assert [r.id for r in events.read(buckets=bucket).collect()] == ["late"]
 
 
 def test_stream_dedupe_drops_resent_events(spark, tmp_path, landing):
@@ -282,7 +332,7 @@ def test_stream_decay_equals_batch(spark, tmp_path, landing):
     expected = sent.groupBy(F.floor("latitude").cast("int").alias("cell_lat_floor"),
                             F.floor("longitude").cast("int").alias("cell_lon_floor")).agg(
         F.sum(F.pow(F.lit(0.5), (last - day) / 3.0)).alias("y"))
-    both = streams.decay_state(spark, root).join(expected, ["cell_lat_floor", "cell_lon_floor"], "full")
+    both = streams.decay_state(spark, root, 3).join(expected, ["cell_lat_floor", "cell_lon_floor"], "full")
     assert both.where("decayed is null or y is null or abs(decayed - y) > 1e-9").count() == 0
 
 

@@ -388,8 +388,9 @@ select id, time, updated, latitude, longitude, depth, mag, "magType", type
 from ({S.DEDUPED}) d""")
 def stream_upsert(spark, d):
     root, state = scratch_path(spark, "upsert"), scratch_path(spark, "state")
-    streams.upsert_stream(event_stream(spark, d), root, state).awaitTermination()
-    return streams.current_catalog(spark, root).withColumns(
+    source = event_stream(spark, d)
+    streams.upsert_stream(source, root, state).awaitTermination()
+    return streams.current_catalog(spark, root, source.schema).withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("time", "updated")})
 
 
@@ -426,4 +427,4 @@ def stream_decay(spark, d):
     root, state = scratch_path(spark, "decay"), scratch_path(spark, "state")
     streams.decay_stream(event_stream(spark, d), root, state, CFG.neighbor_half_life,
                          CFG).awaitTermination()
-    return cell_names(streams.decay_state(spark, root)).select("i", "j", "decayed")
+    return cell_names(streams.decay_state(spark, root, CFG.neighbor_half_life)).select("i", "j", "decayed")
