@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm import cases
 from tests.llm.test_text_operators import brute_components, brute_hits, brute_repetition, fingerprint
-from tremorgrid.llm import byte_bpe, language, language_model, pii, repetition, training_order
+from tremorgrid.llm import byte_bpe, decontamination, language, language_model, pii, repetition, simhash, training_order
 from tremorgrid.llm.queries import QUERIES
 from tremorgrid.llm.tables import remainder
 
@@ -295,6 +295,26 @@ def test_masked_keeps_columns_of_any_name(spark):
     assert all(tuple(r)[2:] == tuple(names) for r in got.values())
 
 
+def test_filters_keep_columns_of_any_name(spark):
+    names = ["_text_key", "simhash_key", "simhash_copy", "simhash_stay_id", "clean_key", "clean_hit_id", "_stay_key", "_copy"]
+    item = " ".join(f"w{k}" for k in range(12))
+    docs = spark.createDataFrame([(1, "one two three four five six", *names), (2, "one two three four five six", *names), (3, item, *names), (None, None, *names)],
+                                 f"doc_id long, text string, {', '.join(f'{n} string' for n in names)}")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    clean, one = decontamination.clean_of(docs, items), simhash.one_of_each(docs, width=5)
+    assert clean.columns == one.columns == docs.columns
+    assert {r.doc_id for r in clean.collect()} == {1, 2, None} and {r.doc_id for r in one.collect()} == {1, 3, None}
+    assert all(tuple(r)[2:] == tuple(names) for df in (clean, one) for r in df.collect())
+
+
+def test_language_rows_with_nulls_stay(spark):
+    labelled = spark.createDataFrame([("the and of with that", "en"), ("und der die mit ist", "de")], "text string, lang string")
+    rows = spark.createDataFrame([(1, None, "und der", None, None, None, None), (2, None, None, None, "h", None, "de"), (None, None, "the", "en", None, None, None)],
+                                 "doc_id long, page_id long, text string, declared string, host string, site string, suffix string")
+    got = {r.doc_id: r for r in language.identified(rows, labelled).collect()}
+    assert set(got) == {1, 2, None} and got[1].host == "" and got[1].lang == "de"
+
+
 def test_masked_pieces_beyond_one_block(spark):
     text = ("é🙂" * 3000 + " a@b.cd ") * 3 + "x" * pii.BLOCK + " 10.0.0.1"
     docs = spark.createDataFrame([(1, text), (2, "a@b.cd"), (3, "y" * (2 * pii.BLOCK) + " a@b.cd")], "doc_id long, text string")

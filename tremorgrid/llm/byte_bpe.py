@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,20 +77,39 @@ def pretokens(texts: pa.Array, pattern) -> tuple[list[str], np.ndarray, np.ndarr
     pieces, bounds = segments(texts)
     coded = pieces.dictionary_encode()
     numbers: dict[str, int] = {}
-    flat, sizes = [], []
-    for piece in coded.dictionary.to_pylist():
-        found = pattern.findall(piece)
+    flat, sizes = array("i"), array("i")
+    for piece in coded.dictionary:
+        found = pattern.findall(piece.as_py())
         sizes.append(len(found))
-        flat += [numbers.setdefault(x, len(numbers)) for x in found]
-    flat, sizes = np.array(flat, dtype=np.int64), np.array(sizes, dtype=np.int64)
+        flat.extend([numbers.setdefault(x, len(numbers)) for x in found])
+    flat, sizes = np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32), np.array(sizes, dtype=np.int64)
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     counts = sizes[codes]
-    positions = flat[ragged((np.cumsum(sizes) - sizes)[codes], counts)] if len(codes) else np.zeros(0, np.int64)
+    positions = flat[ragged((np.cumsum(sizes) - sizes)[codes], counts)] if len(codes) else np.zeros(0, np.int32)
     return list(numbers), positions, np.concatenate([[0], np.cumsum(counts)])[bounds]
 
 
+def _chunk(part: pa.RecordBatch, cut) -> bytes:
+    """The payload of one slice: positions, distinct pre-tokens in order of their hash, and the rows' ids and keys."""
+    words, positions, bounds = pretokens(texts_of(part, "text"), cut)
+    words = pa.array(words, pa.large_string())
+    data, starts, lengths = joined(words)
+    order = np.argsort(xxh64(data, starts, lengths))
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order))
+    positions = rank[positions]
+    frequent = np.argsort(-np.bincount(positions, minlength=len(order)), kind="stable")  # small numbers for frequent ones
+    small = np.empty(len(order), dtype=np.int32)
+    small[frequent] = np.arange(len(frequent))
+    ids = part.column("doc_id")
+    return pack(small[positions], frequent.astype(np.int32), bounds.astype(np.int64),
+                pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
+                part.column("text_key").to_numpy(zero_copy_only=False), lengths[order].astype(np.int32),
+                data[ragged(starts[order], lengths[order])])
+
+
 def chunked(docs: DataFrame, pattern: str) -> DataFrame:
-    """(chunk, payload): positions, distinct pre-tokens in order of their hash, and the rows' ids and keys."""
+    """(chunk, payload) of every slice of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -98,22 +118,7 @@ def chunked(docs: DataFrame, pattern: str) -> DataFrame:
         pa.set_cpu_count(1)
         cut, chunk = regex.compile(pattern), TaskContext.get().partitionId() << 32
         for part in slices(batches, "text", CHUNK_BYTES):
-            words, positions, bounds = pretokens(texts_of(part, "text"), cut)
-            words = pa.array(words, pa.large_string())
-            data, starts, lengths = joined(words)
-            hashes = xxh64(data, starts, lengths)
-            order = np.argsort(hashes)
-            rank = np.empty_like(order)
-            rank[order] = np.arange(len(order))
-            frequent = np.argsort(-np.bincount(rank[positions], minlength=len(order)), kind="stable")  # small numbers for frequent ones
-            small = np.empty_like(frequent)
-            small[frequent] = np.arange(len(frequent))
-            ids = part.column("doc_id")
-            blob = pack(small[rank[positions]].astype(np.int32), frequent.astype(np.int32), bounds.astype(np.int64),
-                        pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
-                        part.column("text_key").to_numpy(zero_copy_only=False), lengths[order].astype(np.int32),
-                        data[ragged(starts[order], lengths[order])])
-            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([blob], pa.binary())], names=["chunk", "payload"])
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([_chunk(part, cut)], pa.binary())], names=["chunk", "payload"])
             chunk += 1
 
     rows = docs.withColumn("text_key", text_key(F.col("text")))

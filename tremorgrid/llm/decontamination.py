@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tremorgrid.llm.tables import documents, text_key
+from tremorgrid.llm.tables import documents, free_name, text_key
 from tremorgrid.llm.text import alphanumeric_words, joined, shingle_rows, slices, texts_of, xxh64
 from tremorgrid.session import materialize
 
@@ -182,6 +182,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 def clean_of(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark window; all columns are kept."""
     hit = contamination(docs, items, id_col=id_col, text_col=text_col, **options).where("n_hit > 0")
-    hit = hit.select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key")).distinct()
-    keyed = docs.withColumn("_text_key", text_key(F.col(text_col).cast("string")))
-    return keyed.join(hit, (F.col("_text_key") == F.col("_hit_key")) & F.col(id_col).cast("long").eqNullSafe(F.col("_hit_id")), "left_anti").drop("_text_key")
+    key, hit_id, hit_key = (free_name(docs, n) for n in ("clean_key", "clean_hit_id", "clean_hit_key"))
+    hit = hit.select(F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key)).distinct()
+    keyed = docs.withColumn(key, text_key(F.col(text_col).cast("string")))
+    return keyed.join(hit, (F.col(key) == F.col(hit_key)) & F.col(id_col).cast("long").eqNullSafe(F.col(hit_id)), "left_anti").drop(key)

@@ -128,13 +128,14 @@ def identified(rows: DataFrame, labelled: DataFrame, cfg: LanguageConfig = Langu
 
     ``rows``: doc_id, page_id, text, declared, host, site, suffix, as made by
     ``page_rows`` or ``document_rows``. ``labelled``: text, lang. Null and empty
-    texts, and rows without a declaration or address, rest on what is left of
-    the evidence; without any labelled text ``lang`` is null. Ties go to the
+    texts, and rows without a declaration or address (empty or null, returned as
+    empty), rest on what is left of the evidence; without any labelled text ``lang`` is null. Ties go to the
     language first in the alphabet. Rows with equal or null ids stay apart.
     """
     names, model = text_model(labelled, cfg)
     if not names:
         return rows.select("doc_id", "page_id", "host", "declared", *(F.lit(None).cast("string").alias(c) for c in ("text_lang", "lang")), F.lit(None).cast("double").alias("probability"))
+    rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("host", "site", "suffix", "declared")})
     texts = text_evidence(rows, names, model, cfg)
     known = materialize(texts.withColumn("share", _shares(F.col("says"))), "language_text")
     n = range(len(names))

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tremorgrid.llm.tables import documents, text_key
+from tremorgrid.llm.tables import documents, free_name, text_key
 from tremorgrid.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -190,14 +190,6 @@ def personal_data(docs: DataFrame, options: Bootstrap = Bootstrap(), id_col: str
 BLOCK = 4096  # characters; a piece of a text is put together from blocks instead of being sought from its start
 
 
-def _free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores before it until no column has it."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
 def _piece(blocks: str, start: str, end: str) -> str:
     """SQL for characters ``start`` up to before ``end`` of the text that ``blocks`` make up."""
     first, last = f"cast(({start}) div {BLOCK} as int)", f"cast((({end}) - 1) div {BLOCK} as int)"
@@ -223,7 +215,7 @@ def masked(docs: DataFrame, options: Bootstrap = Bootstrap(), id_col: str = "doc
     islands = each.groupBy("doc_id", "text_key", "island").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "rank")).alias("kind"))
     islands = islands.withColumn("past", F.coalesce(F.lag("end").over(Window.partitionBy("doc_id", "text_key").orderBy("start")), F.lit(0)))
-    names = {c: _free_name(docs, f"masked_{c}") for c in ("id", "of", "key", "spans", "blocks")}
+    names = {c: free_name(docs, f"masked_{c}") for c in ("id", "of", "key", "spans", "blocks")}
     spans, blocks = f"`{names['spans']}`", f"`{names['blocks']}`"
     merged = islands.groupBy(F.col("doc_id").alias(names["id"]), F.col("text_key").alias(names["of"])).agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "past", "kind"))).alias(names["spans"]))

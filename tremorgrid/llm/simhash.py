@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tremorgrid.llm.tables import documents, text_key
+from tremorgrid.llm.tables import documents, free_name, text_key
 from tremorgrid.llm.text import joined, shingle_rows, slices, space_words, texts_of, xxh64
 from tremorgrid.session import materialize
 
@@ -239,8 +239,9 @@ def one_of_each(docs: DataFrame, width: int = 4, radius: int = 4, id_col: str =
     (null ids last, then by a hash of the text); of equal rows one. All columns are kept."""
     rows = materialize(fingerprints(docs, width, id_col, text_col), "fingerprints")
     first = rooted_fingerprints(rows, radius).groupBy("root").agg(F.min("one").alias("one"))
-    stay = first.select(F.col("one.doc_id").alias("_stay_id"), F.col("one.text_key").alias("_stay_key"))
-    keyed = docs.withColumn("_text_key", text_key(F.col(text_col).cast("string")))
-    met = keyed.join(stay, (F.col("_text_key") == F.col("_stay_key")) & F.col(id_col).cast("long").eqNullSafe(F.col("_stay_id")), "left_semi")
-    order = Window.partitionBy("_text_key", id_col).orderBy(F.lit(1))
-    return met.withColumn("_copy", F.row_number().over(order)).where("_copy = 1").drop("_text_key", "_copy")
+    key, copy, stay_id, stay_key = (free_name(docs, n) for n in ("simhash_key", "simhash_copy", "simhash_stay_id", "simhash_stay_key"))
+    stay = first.select(F.col("one.doc_id").alias(stay_id), F.col("one.text_key").alias(stay_key))
+    keyed = docs.withColumn(key, text_key(F.col(text_col).cast("string")))
+    met = keyed.join(stay, (F.col(key) == F.col(stay_key)) & F.col(id_col).cast("long").eqNullSafe(F.col(stay_id)), "left_semi")
+    order = Window.partitionBy(key, id_col).orderBy(F.lit(1))
+    return met.withColumn(copy, F.row_number().over(order)).where(F.col(copy) == 1).drop(key, copy)

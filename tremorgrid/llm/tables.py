@@ -23,5 +23,13 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def input_partitions(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
