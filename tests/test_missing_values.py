@@ -42,8 +42,19 @@ def test_chunk_plan_raises_when_a_piece_stays_too_big(spark):
     rows = spark.createDataFrame([(day,)] * 5 + [(day + dt.timedelta(days=1),)], "time timestamp")
     end = day + dt.timedelta(days=2)
     assert sum(r.rows for r in plan_time_chunks(rows, day, end, 5).collect()) == 6
-    with pytest.raises(Exception, match="more than 4 events"):
-        plan_time_chunks(rows, day, end, 4).collect()
+    with pytest.raises(ValueError, match="more than 4 events"):  # whatever columns are read of the plan
+        plan_time_chunks(rows, day, end, 4)
+
+
+def test_chunk_plan_halves_dense_pieces_down_to_single_instants(spark):
+    day = dt.datetime(2024, 1, 1)
+    offsets = [0, 1, 2, 3, 5, 8, 13, 13, 40, 1_000_000, 86_400_000_000 - 1]
+    rows = spark.createDataFrame([(day + dt.timedelta(microseconds=o),) for o in offsets], "time timestamp")
+    plan = plan_time_chunks(rows, day, day + dt.timedelta(days=1), 2).orderBy("start").collect()
+    spans = [((r.start - day) // dt.timedelta(microseconds=1), (r.end - day) // dt.timedelta(microseconds=1), r.rows) for r in plan]
+    assert all(n == sum(a <= o < b for o in offsets) <= 2 for a, b, n in spans) and sum(n for *_, n in spans) == len(offsets)
+    assert all(b <= c for (_, b, _), (c, *_) in zip(spans, spans[1:])) and max(r.level for r in plan) > 20
+    assert plan_time_chunks(rows, day, day, 2).count() == 0
 
 
 def test_published_runs_are_not_overwritten_and_can_be_rolled_back(spark, tmp_path):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tremorgrid.config import HazardConfig
+from tremorgrid.session import materialize
 
 # Columns of the public event feed's CSV export, in its order.
 FEED_COLUMNS = (
@@ -59,40 +62,55 @@ def incremental_window(catalog: DataFrame, cfg: HazardConfig, start=None, end=No
                          ).where(F.col("start") < F.col("end"))
 
 
-def plan_time_chunks(events: DataFrame, start, end, cap: int, max_depth: int = 20) -> DataFrame:
+#: Halvings counted in one pass over the events; pieces that are still too big are halved one by one.
+FIRST_LEVELS = 20
+
+
+def plan_time_chunks(events: DataFrame, start, end, cap: int) -> DataFrame:
     """Split [start, end) by halving until each piece holds at most ``cap`` events.
 
-    Events are counted once, in the finest pieces; counts of the coarser ones
-    are sums of those. A piece is kept if it fits and its parent does not. Empty
-    pieces are left out. A piece that is still too big after ``max_depth``
-    halvings raises: a fetch by such a plan would be cut off at the source.
+    Events are counted once, in pieces of 2^-20 of the range; counts of the
+    coarser ones are sums of those. A piece is kept if it fits and its parent
+    does not. Empty pieces are left out. Events of pieces that are too big even
+    then, and no others, are halved on, down to single microseconds. One instant
+    with more than ``cap`` events raises at once: a fetch by any plan would be cut
+    off at the source.
     """
     micros = F.unix_micros(F.col("time").cast("timestamp"))
-    first = F.unix_micros(F.lit(start).cast("timestamp"))
-    last = F.unix_micros(F.lit(end).cast("timestamp"))
-    pieces = 1 << max_depth
-    width = F.ceil((last - first) / F.lit(pieces)).cast("long")
-    fine = events.where((micros >= first) & (micros < last)).groupBy(
-        F.floor((micros - first) / width).cast("long").alias("piece")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    nodes = fine.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(max_depth)))).groupBy(
-        "level",
-        F.floor(F.col("piece") / F.pow(F.lit(2), F.lit(max_depth) - F.col("level")))
-        .cast("long").alias("node"),
-    ).agg(F.sum("n").alias("n"))
-    siblings = Window.partitionBy("level", F.floor(F.col("node") / 2))
-    fits_alone = (F.col("n") <= cap) | (F.col("level") == max_depth)
-    parent_too_big = (F.sum("n").over(siblings) > cap) | (F.col("level") == 0)
-    size = width * F.pow(F.lit(2), F.lit(max_depth) - F.col("level")).cast("long")
-    begin = first + F.col("node") * size
-    too_big = (F.col("level") == max_depth) & (F.col("n") > cap)
-    size_or_error = F.when(too_big, F.raise_error(F.concat(
-        F.lit(f"more than {cap} events after {max_depth} halvings from microsecond "), begin)).cast("long")).otherwise(F.col("n"))
-    return nodes.withColumn("keep", fits_alone & parent_too_big).where("keep").select(
-        "level", "node", size_or_error.alias("rows"),
-        F.timestamp_micros(begin).alias("start"),
-        F.timestamp_micros(F.least(begin + size, last)).alias("end"),
-    )
+    first, last = (F.unix_micros(F.lit(x).cast("timestamp")) for x in (start, end))
+    low, high = events.sparkSession.range(1).select(first, last).first()
+    width = max(1, -(-(high - low) >> FIRST_LEVELS))
+    inside = events.select(micros.alias("at")).where(F.col("at").between(low, high - 1))
+    fine = inside.groupBy(F.expr(f"(at - {low}L) div {width}L").alias("piece")).agg(F.count(F.lit(1)).alias("n"))
+    nodes = fine.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(FIRST_LEVELS)))).groupBy(
+        "level", F.expr(f"shiftright(piece, {FIRST_LEVELS} - level)").alias("node")).agg(F.sum("n").alias("rows"))
+    siblings = Window.partitionBy("level", F.shiftright("node", 1))
+    fits_alone = (F.col("rows") <= cap) | (F.col("level") == FIRST_LEVELS)
+    parent_too_big = (F.sum("rows").over(siblings) > cap) | (F.col("level") == 0)
+    size = F.expr(f"shiftleft({width}L, {FIRST_LEVELS} - level)")
+    kept = materialize(nodes.withColumn("keep", fits_alone & parent_too_big).where("keep").select(
+        "level", "node", "rows", (F.lit(low) + F.col("node") * size).alias("begin"), size.alias("size")), "chunks")
+    done = [kept.where(F.col("rows") <= cap)]
+    big = kept.where(F.col("rows") > cap)
+    while not big.isEmpty():
+        stuck = big.where("size = 1").orderBy("begin").select("begin", "rows").first()
+        if stuck is not None:
+            raise ValueError(f"more than {cap} events in one instant: {stuck['rows']} in microsecond {stuck['begin']}")
+        if len(done) == 1:  # the events of the big pieces, found by their number
+            numbered = inside.withColumn("node", F.expr(f"(at - {low}L) div {width}L"))
+            held = numbered.join(big, "node").select("at", "level", "node", "begin", "size")
+        else:
+            held = held.join(big.select("level", "node"), ["level", "node"], "left_semi")
+        half = F.shiftright(F.col("size") + 1, 1)
+        later = (F.col("at") >= F.col("begin") + half).cast("long")
+        held = materialize(held.select("at", (F.col("level") + 1).alias("level"), (F.col("node") * 2 + later).alias("node"),
+                                       (F.col("begin") + later * half).alias("begin"), F.when(later == 1, F.col("size") - half).otherwise(half).alias("size")), "chunks-held")
+        split = materialize(held.groupBy("level", "node", "begin", "size").agg(F.count(F.lit(1)).alias("rows")).select(kept.columns), "chunks")
+        done.append(split.where(F.col("rows") <= cap))
+        big = split.where(F.col("rows") > cap)
+    return reduce(DataFrame.unionByName, done).select(
+        "level", "node", "rows", F.timestamp_micros("begin").alias("start"),
+        F.timestamp_micros(F.least(F.col("begin") + F.col("size"), F.lit(high))).alias("end"))
 
 
 def recent_significant(catalog: DataFrame, days: int = 30, min_mag: float = 4.5) -> DataFrame:

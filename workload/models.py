@@ -22,9 +22,9 @@ from workload.queries import (
 )
 from workload.sql import q
 
-# Boosted trees as configured: up to 2,000 rounds, stopped 50 rounds after the best one.
+# Boosted trees of up to 2,000 rounds as configured; the patience is shorter than the library's 50 (README: measured times).
 GBT = dict(depth=4, rate=0.1, rounds=2000)
-PATIENCE = 50
+PATIENCE = 10
 # The other two ensembles are reduced in their number of members only (README: measured times).
 SAMME_TREE = dict(depth=5, rate=0.6, rounds=10)
 SAMME_FOREST = dict(depth=4, rate=1.0, rounds=3, trees=15, subset="sqrt")
@@ -226,8 +226,8 @@ def feature_importance(spark, d):
         F.when(there, (F.abs(F.col("total") - 1) < 1e-6) & (F.col("least") >= 0)).otherwise(named).alias("whole"))
 
 
-# Two of the configured depths; rounds and patience as configured.
-SEARCHED = {"depth": [4, 6], "rate": [0.1], "rounds": [2000]}
+# Two of the configured depths, and a shorter patience (README: measured times); rounds as configured.
+SEARCHED, SEARCH_PATIENCE = {"depth": [4, 6], "rate": [0.1], "rounds": [2000]}, 5
 
 
 @query("grid_search_scores", """
@@ -239,7 +239,7 @@ def grid_search_scores(spark, d):
     matrix = materialize(events_matrix(spark, d), "matrix")
     imputation = fit_imputation(matrix)
     indexed = materialize(training.prepare(splits.indexed_rows(matrix), imputation, ("row_index",)), "indexed")
-    folds = materialize(training.grid_search("gbt", indexed, imputation.feature_columns, SEARCHED, CFG, parallelism=4, patience=PATIENCE), "fold-scores")
+    folds = materialize(training.grid_search("gbt", indexed, imputation.feature_columns, SEARCHED, CFG, parallelism=4, patience=SEARCH_PATIENCE), "fold-scores")
     scores = training.grid_scores(folds)
     best = scores.agg(F.max("mean_roc_auc").alias("highest"), F.count_if("is_best").alias("marked"), F.max("folds_scored").alias("most"))
     return scores.crossJoin(F.broadcast(best)).select(  # one row
