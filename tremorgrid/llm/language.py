@@ -21,6 +21,9 @@ from tremorgrid.llm.text import row_sums, slices, space_words, subwords, texts_o
 from tremorgrid.session import materialize
 
 
+SLICE = 3 << 20  # bytes of text at a time: character n-grams take many times their text
+
+
 @dataclass(frozen=True)
 class LanguageConfig:
     buckets: int = 1 << 15
@@ -68,7 +71,7 @@ def text_model(labelled: DataFrame, cfg: LanguageConfig) -> tuple[list[str], np.
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_cpu_count(1)
         sums = np.zeros((max(1, len(names)), cfg.buckets), dtype=np.int64)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             words, bounds = space_words(texts_of(part, "text"))
             if not len(words):
                 continue
@@ -98,7 +101,7 @@ def text_evidence(rows: DataFrame, names: list[str], model: np.ndarray, cfg: Lan
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_cpu_count(1)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             words, bounds = space_words(texts_of(part, "text"))
             says = np.zeros((len(part), len(names)))
             if len(words):
