@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import cases
-from tests.llm.test_text_operators import brute_components, brute_hits, brute_repetition, fingerprint
+from tests.llm.test_near_texts import similar_components
+from tests.llm.test_text_operators import brute_hits, brute_repetition
 from tremorgrid.llm import byte_bpe, decontamination, language, language_model, pii, repetition, simhash, training_order
 from tremorgrid.llm.queries import QUERIES
 from tremorgrid.llm.tables import remainder
@@ -373,7 +374,7 @@ def test_pipeline_equals_brute_force(spark):
         return not failed and repetition.covered(lengths, rules.span_words).sum() <= rules.max_covered * n and lengths.max(initial=0) <= rules.max_longest
 
     docs = [x for x in docs if kept(x[1])]
-    roots = brute_components([fingerprint(t, 5) for _, t in docs])
+    roots = similar_components([t for _, t in docs])
     docs = [min((x for x, q in zip(docs, roots) if q == r), key=lambda x: x[0]) for r in sorted(set(roots))]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{cases.SF}/benchmark.parquet").collect()]
     hits = {d: h for d, _, h, _ in brute_hits(docs, items)}
