@@ -394,3 +394,33 @@ def test_stages_take_odd_rows(spark):
             out = stage(spark, docs, cases.SF)
             assert k == len(corpus_pipeline.STAGES) - 1 or out.columns == docs.columns
             assert out.count() <= docs.count()
+
+
+# --- round 3 -----------------------------------------------------------------------------------------------------
+
+
+def test_training_order_gives_memory_back(monkeypatch):
+    """A worker that has encoded its texts keeps no buffers for the stages that follow."""
+    import pyarrow as pa
+    import pyspark
+
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(pa.total_allocated_bytes())
+
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(pyspark, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("Part", (), {"partitionId": lambda self: 7})())}))
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    run = training_order.sequences(Frame(), RANKS, public_tokenizers.PATTERN, 8, 50256)
+    before, used, rows = pa.total_allocated_bytes(), [], 0
+    for batch in run(iter([pa.RecordBatch.from_pydict({"doc_id": pa.array([1, None, 3]), "text": pa.array(["one two " * 9000, None, ""])})])):
+        used.append(pa.total_allocated_bytes())
+        rows, part, place = rows + len(batch), batch.column("part").to_pylist(), batch.column("place").to_pylist()
+        batch = None
+    assert set(part) == {7} and place == list(range(rows)) and rows > 1000
+    assert len(released) == 1 and released[0] - before < (used[0] - before) / 4

@@ -13,6 +13,7 @@ start or resume anywhere.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,11 +59,9 @@ def permuted(index: np.ndarray, n: int, key: int, back: bool = False) -> np.ndar
 
 
 def slot_of(index: Column, n: int, key: int) -> Column:
-    @F.pandas_udf("long")
-    def slots(column):
-        import pandas as pd
-
-        return pd.Series(permuted(column.to_numpy(), n, key))
+    @F.arrow_udf("long")
+    def slots(column: pa.Array) -> pa.Array:
+        return pa.array(permuted(column.to_numpy(zero_copy_only=False), n, key))
 
     return slots(index)
 
@@ -78,9 +77,10 @@ def sequences(docs: DataFrame, ranks_path: str, pattern: str, length: int, end_i
 
         pa.set_cpu_count(1)
         part, place = TaskContext.get().partitionId(), 0
-        known: dict[str, list[int]] = {}
+        known: dict[str, bytes] = {}
         core = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=_ranks(ranks_path), special_tokens={})
-        for batch in slices(batches, "text"):
+
+        def of_slice(batch: pa.RecordBatch) -> pa.RecordBatch:
             pieces, bounds = segments(texts_of(batch, "text"))
             coded = pieces.dictionary_encode()
             positions = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -88,12 +88,12 @@ def sequences(docs: DataFrame, ranks_path: str, pattern: str, length: int, end_i
             for piece in coded.dictionary.to_pylist():
                 ids = known.get(piece)
                 if ids is None:
-                    if len(known) >= KNOWN_PIECES:
-                        known.clear()
-                    ids = known[piece] = core.encode_ordinary(piece)
+                    ids = array("H", core.encode_ordinary(piece)).tobytes()  # unlike lists, not looked through for cycles
+                    if len(known) < KNOWN_PIECES:  # a slice may fill it alone: what is frequent stays
+                        known[piece] = ids
                 found.append(ids)
-            sizes = np.array([len(x) for x in found], dtype=np.int64)
-            flat = np.fromiter((i for x in found for i in x), dtype=np.uint16)
+            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 2
+            flat = np.frombuffer(b"".join(found), dtype=np.uint16)
             tokens = flat[ragged((np.cumsum(sizes) - sizes)[positions], sizes[positions])] if len(positions) else np.zeros(0, np.uint16)
             edges = np.concatenate([[0], np.cumsum(sizes[positions])])[bounds] if len(positions) else np.zeros(len(bounds), np.int64)
             n_ids = np.diff(edges)
@@ -105,10 +105,17 @@ def sequences(docs: DataFrame, ranks_path: str, pattern: str, length: int, end_i
             seq = np.arange(len(owner)) - np.repeat(np.cumsum(n_seq) - n_seq, n_seq)
             used = np.minimum(n_ids[owner] + 1 - seq * length, length)
             records = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer((np.arange(len(owner) + 1) * (2 * length)).astype(np.int32)), pa.py_buffer(out)])
-            yield pa.RecordBatch.from_arrays([
+            return pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(owner), part)), pa.array(np.arange(place, place + len(owner))), batch.column("doc_id").take(pa.array(owner)),
                 pa.array(seq.astype(np.int32)), pa.array(used.astype(np.int32)), records], names=[x.split()[0] for x in SEQUENCES.split(", ")])
-            place += len(owner)
+
+        for batch in slices(batches, "text"):
+            found = of_slice(batch)
+            place += len(found)
+            yield found
+        batch = found = None
+        known.clear()
+        pa.default_memory_pool().release_unused()  # the worker stays, beside those of the stages that follow
 
     return docs.mapInArrow(run, SEQUENCES)
 
@@ -163,11 +170,12 @@ def read_slots(spark: SparkSession, folder: str, layout: dict, first: int = 0, l
             for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
                 raw = np.frombuffer(content.as_buffer(), np.uint8).reshape(-1, stride)
                 slot = np.arange(len(raw)) + shard * per
-                inside = (slot >= first) & (slot < last)
-                ids = np.ascontiguousarray(raw[inside, :-1]).view("<u2").astype(np.int32)
-                lists = None if hashes else pa.ListArray.from_arrays(pa.array((np.arange(len(ids) + 1) * length).astype(np.int32)), pa.array(ids.ravel()))
-                digests = [hashlib.sha256(r).hexdigest() for r in raw[inside, :-1]] if hashes else [None] * len(ids)
-                columns = [pa.array(slot[inside]), pa.array(digests, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns if hashes else [*columns[:1], lists], names=["slot", "sha256" if hashes else "ids"])
+                inside = np.flatnonzero((slot >= first) & (slot < last))
+                if hashes:  # row by row, without a copy of the shard
+                    found = pa.array([hashlib.sha256(raw[k, :-1]).hexdigest() for k in inside], pa.string())
+                else:
+                    ids = np.ascontiguousarray(raw[inside, :-1]).view("<u2").astype(np.int32)
+                    found = pa.ListArray.from_arrays(pa.array((np.arange(len(ids) + 1) * length).astype(np.int32)), pa.array(ids.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(slot[inside]), found], names=["slot", "sha256" if hashes else "ids"])
 
     return files.mapInArrow(run, "slot long, sha256 string" if hashes else "slot long, ids array<int>")
