@@ -399,6 +399,54 @@ def test_stages_take_odd_rows(spark):
 # --- round 3 -----------------------------------------------------------------------------------------------------
 
 
+def _plain_step(tables, seen, first, features, tokens, cfg):
+    """One update of both softmaxes as written down, row by row of the tables."""
+    model = language_model.Softmaxes(tables, cfg)
+    classes, slots = tokens // cfg.slots, tokens % cfg.slots
+    for table, weight, rows, target in zip(tables, seen, model._rows(features, classes), (classes, slots)):
+        z = sum(table[r].astype(np.float64) for r in rows)
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        error = p / p.sum(axis=1, keepdims=True)
+        error[np.arange(len(tokens)), target] -= 1
+        gradient = np.zeros(table.shape)
+        for r in rows:
+            np.add.at(gradient, r.astype(np.int64), error)
+        weight += (gradient ** 2).mean(axis=1)
+        table -= first * gradient / np.sqrt(weight)[:, None]
+
+
+def test_lm_step_in_blocks_is_the_plain_step():
+    cfg = language_model.LMConfig()
+    rng = np.random.default_rng(8)
+    shapes = [(cfg.class_rows, cfg.classes), (cfg.place_rows, cfg.slots)]
+    model = language_model.Softmaxes([np.zeros(s, np.float32) for s in shapes], cfg)
+    plain, seen = [np.zeros(s) for s in shapes], [np.full(s[0], 1e-2) for s in shapes]
+    for size in (5000, 1, 7001):  # more than two blocks, one token, fewer and more than before
+        tokens = (rng.zipf(1.4, size) * 37 % (cfg.classes * cfg.slots)).astype(np.int64)
+        edges = np.unique(np.concatenate([[0, size], rng.integers(0, size, 20)]))
+        features = language_model._features(tokens, edges, cfg)
+        model.step(features, tokens)
+        _plain_step(plain, seen, cfg.rate, features, tokens, cfg)
+        for table, want in zip(model.tables, plain):
+            np.testing.assert_allclose(table, want, atol=2e-3)
+    logs = model.log_probability(features, tokens)
+    again = [model.log_probability([f[a : a + 1] for f in features], tokens[a : a + 1])[0] for a in range(0, size, 500)]
+    assert logs[::500].tolist() == again
+
+
+def test_lm_learning_looks_at_the_chosen_texts_alone():
+    """Features of the texts of one round are the same without the others, which cost nothing."""
+    cfg = language_model.LMConfig()
+    rng = np.random.default_rng(9)
+    edges = np.array([0, 1, 50, 50 + 3, 200, 201, 400])
+    tokens, chosen = rng.integers(0, 900, 400), np.array([True, False, True, True, False, True])
+    own, bounds = language_model._texts_tokens(tokens, edges, chosen)
+    picked = np.flatnonzero(np.repeat(chosen, np.diff(edges)))
+    assert (own == tokens[picked]).all() and bounds.tolist() == [0, 1, 4, 151, 350]
+    for part, whole in zip(language_model._features(own, bounds, cfg), language_model._features(tokens, edges, cfg)):
+        assert (part == whole[picked]).all()
+
+
 def test_training_order_gives_memory_back(monkeypatch):
     """A worker that has encoded its texts keeps no buffers for the stages that follow."""
     import pyarrow as pa

@@ -47,6 +47,7 @@ class LMConfig:
 
 
 CHUNK = [np.int32, np.int32, np.int64, np.int64, np.uint8, np.uint8, np.int32, np.int32, np.uint8]
+CACHED = 1024  # tokens whose rows are summed at once
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -197,6 +198,12 @@ def _chunk_tokens(payload: bytes, vocab: Vocabulary, cfg: LMConfig):
     return tokens, code, cell, edges, ids, missing, held
 
 
+def _texts_tokens(tokens: np.ndarray, edges: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of the ``chosen`` texts alone, and their bounds."""
+    sizes = np.diff(edges)
+    return tokens[np.repeat(chosen, sizes)], np.concatenate([[0], np.cumsum(sizes[chosen])])
+
+
 def _features(tokens: np.ndarray, edges: np.ndarray, cfg: LMConfig) -> list[np.ndarray]:
     """Hashed features of each token: bias, n-grams of the one, two and three words before, and the second and third before alone (skips)."""
     start = np.repeat(edges[:-1], np.diff(edges))
@@ -223,67 +230,110 @@ def _scramble(x: np.ndarray) -> np.ndarray:
 def _run_sums(values: np.ndarray, at: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """Sums of ``values[at]`` over the runs that begin at ``heads``; most runs have one row and are only copied."""
     sizes = np.diff(np.append(heads, len(at)))
-    out = values[at[heads]]
-    many = sizes > 1
+    out = values.take(at[heads], axis=0)
+    for n in range(2, 9):  # as reduceat adds: the first number and the sum of the others
+        own = np.flatnonzero(sizes == n)
+        rest = [values.take(at[heads[own] + k], axis=0) for k in range(1, n)]
+        if n > 4:  # four numbers and more are added in pairs
+            rest[:4] = [(rest[0] + rest[1]) + (rest[2] + rest[3])]
+        for more in rest[1:]:
+            rest[0] += more
+        out[own] += rest[0]
+    many = sizes > 8
     if many.any():
         ends = np.cumsum(sizes[many])
         # two numbers at a time: reduceat pays for each run and column
-        out[many] = np.add.reduceat(values[at[np.repeat(many, sizes)]].view(np.complex64), ends - sizes[many], axis=0).view(np.float32)
+        out[many] = np.add.reduceat(values.take(at[np.repeat(many, sizes)], axis=0).view(np.complex64), ends - sizes[many], axis=0).view(np.float32)
     return out
 
 
+def _greatest(z: np.ndarray) -> np.ndarray:
+    """The greatest number of each row, as a column: halves of the rows are compared whole."""
+    while z.shape[1] % 2 == 0 and z.shape[1] > 8:
+        z = np.maximum(z[:, : z.shape[1] // 2], z[:, z.shape[1] // 2 :])
+    most = z[:, 0].copy()
+    for k in range(1, z.shape[1]):
+        np.maximum(most, z[:, k], out=most)
+    return most[:, None]
+
+
 class Softmaxes:
     """Two tables of feature rows; ``step`` makes one update, ``log_probability`` scores."""
 
     def __init__(self, tables: list[np.ndarray], cfg: LMConfig, seen: list[np.ndarray] | None = None):
         self.tables, self.cfg = tables, cfg
         self.seen = seen or [np.full(len(t), 1e-2, dtype=np.float32) for t in tables]
+        self._held: dict[tuple, np.ndarray] = {}
+
+    def _space(self, name: str, rows: int, width: int) -> np.ndarray:
+        """Memory that all batches use again: fresh pages cost more than the sums written to them."""
+        held = self._held.get((name, width))
+        if held is None or len(held) < rows:
+            held = self._held[name, width] = np.empty((rows, width), dtype=np.float32)
+        return held[:rows]
 
     def _rows(self, features: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
-        """Rows of both tables; their sizes are powers of two, up to 2^16."""
+        """Rows of both tables, a line for each feature; the tables' sizes are powers of two, up to 2^16."""
         small, large = (np.uint64(65 - int(n).bit_length()) for n in (self.cfg.class_rows, self.cfg.place_rows))
         own = _scramble(classes.astype(np.uint64))
-        first, second = (np.empty((len(classes), len(features)), dtype=np.uint16) for _ in range(2))
+        first, second = (np.empty((len(features), len(classes)), dtype=np.uint16) for _ in range(2))
         with np.errstate(over="ignore"):
             for k, f in enumerate(features):
-                first[:, k] = f >> small
-                second[:, k] = ((f ^ own) * _MIX[2]) >> large
+                first[k] = f >> small
+                second[k] = ((f ^ own) * _MIX[2]) >> large
         return [first, second]
 
-    @staticmethod
-    def _softmax(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        z = table[rows[:, 0]]
-        for k in range(1, rows.shape[1]):
-            z += table[rows[:, k]]
-        z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        return z
+    def _exponentials(self, table: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(exponentials of every token's sums over ``rows``, their sum by token), valid until the next call; blocks of tokens
+        stay in the processor's cache."""
+        n, width = rows.shape[1], table.shape[1]
+        out, total, spare = self._space("sums", n, width), self._space("total", n, 1), self._space("row", CACHED, width)
+        for a in range(0, len(out), CACHED):
+            z, at = out[a : a + CACHED], rows[:, a : a + CACHED].astype(np.intp)
+            row = spare[: len(z)]
+            table.take(at[1], axis=0, out=z, mode="clip")  # unlike "raise", it writes to ``out`` directly
+            z += table[at[0, 0]] if (at[0] == at[0, 0]).all() else table.take(at[0], axis=0, out=row, mode="clip")  # the bias may have one row
+            for own in at[2:]:
+                z += table.take(own, axis=0, out=row, mode="clip")
+            z -= _greatest(z)
+            np.exp(z, out=z)
+            z.sum(axis=1, keepdims=True, out=total[a : a + CACHED])
+        return out, total
 
     def log_probability(self, features: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
         out = np.empty(len(tokens), dtype=np.float64)
         for a in range(0, len(tokens), self.cfg.batch):
             own = tokens[a : a + self.cfg.batch]
             classes, slots = own // self.cfg.slots, own % self.cfg.slots
-            each = np.arange(len(own))
-            p = [self._softmax(t, r) for t, r in zip(self.tables, self._rows([f[a : a + self.cfg.batch] for f in features], classes))]
-            out[a : a + self.cfg.batch] = np.log(np.maximum(p[0][each, classes], 1e-30)) + np.log(np.maximum(p[1][each, slots], 1e-30))
+            each, p = np.arange(len(own)), []
+            for table, rows, target in zip(self.tables, self._rows([f[a : a + self.cfg.batch] for f in features], classes), (classes, slots)):
+                z, total = self._exponentials(table, rows)
+                p.append(z[each, target] / total[:, 0])  # only the token's own share
+            out[a : a + self.cfg.batch] = np.log(np.maximum(p[0], 1e-30)) + np.log(np.maximum(p[1], 1e-30))
         return out
 
     def step(self, features: list[np.ndarray], tokens: np.ndarray) -> None:
         classes = tokens // self.cfg.slots
         each = np.arange(len(tokens))
         for table, seen, rows, target in zip(self.tables, self.seen, self._rows(features, classes), (classes, tokens % self.cfg.slots)):
-            error = self._softmax(table, rows)
+            error, total = self._exponentials(table, rows)
+            error /= total
             error[each, target] -= 1
-            flat = rows.ravel()
+            flat = rows.T.ravel()
             order = np.argsort(flat, kind="stable")
             ranked = flat[order]
             heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-            gradient = _run_sums(error, order // rows.shape[1], heads)
+            gradient = _run_sums(error, order // len(rows), heads)
             touched = ranked[heads].astype(np.int64)
-            seen[touched] += np.square(gradient).mean(axis=1)
-            table[touched] -= (self.cfg.rate / np.sqrt(seen[touched]))[:, None] * gradient
+            spare = self._space("row", CACHED, table.shape[1])
+            for a in range(0, len(touched), CACHED):
+                own, moved = touched[a : a + CACHED], gradient[a : a + CACHED]
+                row = spare[: len(own)]
+                so_far = seen[own] + np.multiply(moved, moved, out=row).mean(axis=1)
+                seen[own] = so_far
+                moved *= (self.cfg.rate / np.sqrt(so_far))[:, None]
+                table.take(own, axis=0, out=row, mode="clip")
+                table[own] = np.subtract(row, moved, out=row)
 
 
 BLOCK = 1024
@@ -303,12 +353,11 @@ def train(chunks: DataFrame, vocab: Vocabulary, cfg: LMConfig) -> list[np.ndarra
             for batch in batches:
                 for payload in batch.column("payload"):
                     tokens, _, _, edges, _, _, held = _chunk_tokens(payload.as_py(), words, cfg)
-                    features = _features(tokens, edges, cfg)
                     chosen = (held == 0) & (np.arange(len(held)) % cfg.rounds == turn)
-                    picked = np.flatnonzero(np.repeat(chosen, np.diff(edges)))
-                    for a in range(0, len(picked), cfg.batch):
-                        own = picked[a : a + cfg.batch]
-                        model.step([f[own] for f in features], tokens[own])
+                    tokens, edges = _texts_tokens(tokens, edges, chosen)  # features never look beyond a text
+                    features = _features(tokens, edges, cfg)
+                    for a in range(0, len(tokens), cfg.batch):
+                        model.step([f[a : a + cfg.batch] for f in features], tokens[a : a + cfg.batch])
                         worked = True
             if worked:
                 block = 0
