@@ -195,6 +195,42 @@ def test_bundle_is_published_as_one_and_refuses_other_inputs(spark, tmp_path, no
         bundle.publish_bundle(store, "r1", {"gbt": gbt}, imputation, {})
 
 
+def test_many_trees_score_and_are_stored_as_one_model(spark, tmp_path, noisy):
+    train, _ = noisy
+    few = boosted.fit_boosted(train, ["a", "b", "c"], depth=2, rounds=4)
+    many = boosted.BoostedTrees(few.members * 200, 0.01, few.columns, [(1, None)])
+    steps = boosted._grown(train.withColumn("margin", F.lit(0.0)), few.members, 0.01)  # tree by tree
+    off = many.transform(steps).agg(F.max(F.abs(F.col("proba") - 1 / (1 + F.exp(-200 * F.col("margin")))))).first()[0]
+    assert off < 1e-9
+    many.save(spark, str(tmp_path / "m"))
+    stored = boosted.BoostedTrees.load(spark, str(tmp_path / "m"))
+    assert (stored.rounds, stored.rate, stored.columns, stored.curve) == (800, 0.01, ["a", "b", "c"], [(1, None)])
+    assert stored.importances() == many.importances()
+    assert stored.transform(many.transform(train, "ours"), "theirs").where("ours != theirs").count() == 0
+
+
+def test_catalog_of_one_class_has_no_trained_model(spark, tmp_path):
+    """Every day of every cell has a strong event: all labels are one, as on large catalogs, so no model is trained."""
+    from workload import models
+
+    days = spark.range(240).select(F.expr("timestamp_ntz'2020-01-01' + make_dt_interval(cast(id as int))").alias("o_orderdate"), "id")
+    rows = days.crossJoin(spark.range(2).select(F.col("id").alias("o_custkey")))
+    rows.select((F.lit(130) + 143 * (2 * F.col("id") + F.col("o_custkey"))).alias("o_orderkey"), "o_custkey", "o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(0, 3), (1, 4)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(3,), (4,)], "n_nationkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    d = str(tmp_path)
+    got = models.gbt_forecast(spark, d).collect()
+    assert sorted({(r.horizon_day, r.cell_lon) for r in got}) == [(h, c) for h in range(1, 8) for c in (1.5, 2.5)] and len(got) == 14
+    assert all(r.proba_in_range and r.others_absent and r.as_trained for r in got)
+    facts = ("stopped_by_patience", "best_is_first_maximum", "kept_up_to_best", "auc_agrees")
+    assert [all(r[f] for f in facts) for r in models.tuned_rounds(spark, d).collect()] == [True]
+    assert [r.known and r.in_order and r.whole for r in models.feature_importance(spark, d).collect()] == [True] * 3
+    judged = models.test_evaluation(spark, d).collect()
+    assert len(judged) == 3 and all(r.counts_agree and r.auc_agrees and r.in_range and r.test_rows == r.test_positives > 0 for r in judged)
+    dates = models.walk_forward_gbt(spark, d).collect()
+    assert len(dates) == 10 and all(r.n == r.positives == 14 and r.positive_rate == r.train_positive_rate == 1 and r.in_range and r.horizons_agree for r in dates)
+
+
 def test_versions_rollback_and_prune(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"))
     for k in (1, 2, 3, 4):
