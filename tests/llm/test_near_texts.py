@@ -152,3 +152,36 @@ def test_only_sets_of_candidates_are_shuffled(spark):
     assert set(keys[::10]) <= found and len(found) < len(keys) / 4
     assert {r.set_key for r in near_texts._stored_sets(nodes, docs, 5, "doc_id", "text").collect()} == set(keys[::10])
     assert near_texts.shingle_sets(docs, bits=near_texts._bits(nodes.limit(0))).count() == 0
+
+
+def test_simhash_balls_propose_pairs_and_the_join_adds_the_rest(spark, monkeypatch):
+    """The stage takes its first links from fingerprints; what differs in more bits is still linked, what is not similar is not."""
+    import corpus_pipeline
+    from tremorgrid.llm import simhash
+
+    rng, seen = random.Random(29), []
+    texts = []
+    for share in (0.98, 0.8):
+        for _ in range(15):
+            words = [f"w{rng.getrandbits(14)}" for _ in range(rng.randrange(600, 900))]
+            texts += [" ".join(words), " ".join(edited(rng, words, share))]
+    words = [f"w{rng.getrandbits(14)}" for _ in range(12)]
+    texts += [" ".join(words), " ".join(words * 2), " ".join(words * 3)]  # alike in shingles, or nearly
+    docs = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    rows = near_texts.sketches(docs).collect()
+    want = {r.doc_id: r.fp for r in simhash.fingerprints(docs, width=5).collect()}
+    assert {r.doc_id: r.fp for r in rows} == want
+    bits = lambda a, b: ((want[a] ^ want[b]) & (2**64 - 1)).bit_count()
+    key, whole = {r.doc_id: r.set_key for r in rows}, near_texts.ball_verified
+
+    def spied(*args, **options):
+        seen.append(whole(*args, **options).collect())
+        return whole(*args, **options)
+
+    monkeypatch.setattr(near_texts, "ball_verified", spied)
+    got = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    roots = similar_components(texts)
+    assert got == sorted(min(i for i, r in enumerate(roots) if r == q) for q in set(roots))
+    close = {tuple(sorted((key[i], key[i + 1]))) for i in range(0, 60, 2) if bits(i, i + 1) <= near_texts.RADIUS}
+    far = sum(bits(i, i + 1) > near_texts.RADIUS for i in range(0, 60, 2))
+    assert len(seen) == 1 and close <= {(r.a, r.b) for r in seen[0]} and len(close) >= 8 and far >= 8, (len(close), far)
